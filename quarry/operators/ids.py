@@ -63,3 +63,11 @@ def first_n_with_id(df: DataFrame, order_cols: list[str], n: int, id_col: str =
     runs over at most ``n`` rows)."""
     top = df.orderBy(*order_cols).limit(n)
     return top.withColumn(id_col, F.row_number().over(Window.orderBy(*order_cols)) - 1)
+
+
+def dense_index(df: DataFrame, col: str, index_col: str | None = None) -> DataFrame:
+    """(value, index): distinct values of ``col`` numbered 0.. in value order
+    (INT), e.g. to feed long or string ids to ALS."""
+    index_col = index_col or f"{col}_index"
+    keys = df.select(col).where(F.col(col).isNotNull()).distinct()
+    return contiguous_id(keys, [col], index_col).withColumn(index_col, F.col(index_col).cast("int"))

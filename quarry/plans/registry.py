@@ -79,3 +79,292 @@ def q_intersect_values(spark, d):
 def q_contiguous_id(spark, d):
     o = load_table(spark, d, "orders").select("o_orderkey", "o_custkey")
     return contiguous_id(o, ["o_orderkey"]).select("id", "o_orderkey", "o_custkey")
+
+
+# --------------------------------------------------------- sources, sinks ---
+
+from quarry import sources as S  # noqa: E402
+from quarry.functions.exprs import csv_line, joined  # noqa: E402
+from quarry.operators import cluster as M  # noqa: E402
+from quarry.operators import itemsets as FI  # noqa: E402
+from quarry.operators import recommend as R  # noqa: E402
+from quarry.operators import split as SP  # noqa: E402
+from quarry.plans import oracle_sql as OS  # noqa: E402
+from quarry.session import scratch_path  # noqa: E402
+
+
+@register("src_header_csv", "SELECT * FROM supplier")
+def q_src_header_csv(spark, d):
+    sup = load_table(spark, d, "supplier")
+    path = scratch_path(spark, "supplier-csv")
+    S.write_header_csv(sup, path)
+    return S.read_header_csv(spark, path, schema=sup.schema)
+
+
+@register("src_delimited_records", V.with_views("SELECT * FROM rating_records", "rating_records"))
+def q_src_delimited_records(spark, d):
+    path = scratch_path(spark, "ratings-records")
+    S.write_delimited_records(V.rating_records(spark, d), path, "::")
+    fields = [("userId", "int"), ("itemId", "int"), ("rating", "int"), ("timestamp", "bigint")]
+    return S.read_delimited_records(spark, path, fields, "::", mode="fail")
+
+
+@register("src_ragged_baskets", V.with_views(
+    "SELECT CAST(b AS VARCHAR) AS key, string_agg(i, ',' ORDER BY i) AS items FROM basket GROUP BY b",
+    "basket"))
+def q_src_ragged_baskets(spark, d):
+    path = scratch_path(spark, "baskets-ragged")
+    b = FI.baskets_from_pairs(V.basket_pairs(spark, d), "b", "i")
+    S.write_ragged_baskets(b, "b", "items", path)
+    back = S.read_ragged_baskets(spark, path)
+    return back.select("key", F.array_join("items", ",").alias("items"))
+
+
+@register("csv_lines", V.with_views(
+    "SELECT source || ',' || CAST(count(*) AS VARCHAR) AS line FROM docs "
+    "WHERE source IS NOT NULL AND source <> '' GROUP BY source", "docs"))
+def q_csv_lines(spark, d):
+    vc = tabular.value_counts(V.docs(spark, d), "source")
+    return vc.select(csv_line(vc).alias("line"))
+
+
+# ------------------------------------------------------- splits, sampling ---
+
+@register("hash_split", V.with_views(
+    "SELECT 'train' AS part, count(*) AS n, CAST(sum(rating) AS BIGINT) AS rating_sum FROM train "
+    "UNION ALL SELECT 'test' AS part, count(*) AS n, CAST(sum(rating) AS BIGINT) AS rating_sum FROM test",
+    "train", "test"))
+def q_hash_split(spark, d):
+    train, test = V.train_test(spark, d)
+    def side(df, name):
+        return df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"),
+                      F.sum("rating").cast("long").alias("rating_sum"))
+    return side(train, "train").unionByName(side(test, "test"))
+
+
+@register("random_split", V.with_views(
+    "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_shared_keys FROM ratings", "ratings"))
+def q_random_split(spark, d):
+    parts = SP.random_split(V.ratings(spark, d), [0.8, 0.2], V.SPLIT_SEED)
+    return SP.split_check(parts, ["userId", "itemId"])
+
+
+# ------------------------------------------------------------ recommender ---
+
+@register("global_mean", V.with_views("SELECT avg(rating) AS global_mean FROM train", "train"))
+def q_global_mean(spark, d):
+    train, _ = V.train_test(spark, d)
+    return R.global_mean(train)
+
+
+@register("group_means", V.with_views(
+    "SELECT 'user' AS kind, userId AS id, avg(rating) AS mean FROM train GROUP BY userId "
+    "UNION ALL SELECT 'item' AS kind, itemId AS id, avg(rating) AS mean FROM train GROUP BY itemId",
+    "train"))
+def q_group_means(spark, d):
+    train, _ = V.train_test(spark, d)
+    u = R.group_means(train, "userId").select(F.lit("user").alias("kind"),
+                                              F.col("userId").alias("id"), "mean")
+    i = R.group_means(train, "itemId").select(F.lit("item").alias("kind"),
+                                              F.col("itemId").alias("id"), "mean")
+    return u.unionByName(i)
+
+
+_BIAS_CTES = (
+    "WITH um AS (SELECT userId, avg(rating) AS user_mean FROM train GROUP BY userId), "
+    "im AS (SELECT itemId, avg(rating) AS item_mean FROM train GROUP BY itemId), "
+    "gm AS (SELECT avg(rating) AS g FROM train) ")
+
+
+@register("bias_interaction", V.with_views(
+    _BIAS_CTES + "SELECT t.userId, t.itemId, CAST(t.rating AS DOUBLE) AS rating, um.user_mean, "
+    "im.item_mean, round(t.rating - (um.user_mean + im.item_mean - gm.g), 9) AS user_item_interaction "
+    "FROM train t JOIN im USING (itemId) JOIN um USING (userId) CROSS JOIN gm "
+    "ORDER BY t.userId, t.itemId", "train"))
+def q_bias_interaction(spark, d):
+    train, _ = V.train_test(spark, d)
+    out = R.bias_interaction(train, "userId", "itemId", "rating")
+    return out.withColumn("user_item_interaction", F.round("user_item_interaction", 9))
+
+
+@register("global_mean_rmse", V.with_views(
+    "SELECT round(sqrt(avg(pow(rating - g, 2))), 6) AS rmse FROM test "
+    "CROSS JOIN (SELECT avg(rating) AS g FROM train)", "train", "test"))
+def q_global_mean_rmse(spark, d):
+    train, test = V.train_test(spark, d)
+    return R.global_mean_rmse(train, test).select(F.round("rmse", 6).alias("rmse"))
+
+
+@register("bias_rmse", V.with_views(
+    _BIAS_CTES + "SELECT round(sqrt(avg(pow(um.user_mean + im.item_mean - gm.g - t.rating, 2))), 6) "
+    "AS rmse FROM test t JOIN im USING (itemId) JOIN um USING (userId) CROSS JOIN gm",
+    "train", "test"))
+def q_bias_rmse(spark, d):
+    train, test = V.train_test(spark, d)
+    return R.bias_rmse(train, test).select(F.round("rmse", 6).alias("rmse"))
+
+
+@register("rmse", "SELECT round(sqrt(avg(pow(l_tax * 100 - l_quantity, 2))), 6) AS rmse FROM lineitem")
+def q_rmse(spark, d):
+    li = load_table(spark, d, "lineitem")
+    return R.rmse(li.withColumn("_pred", F.col("l_tax") * 100), "_pred", "l_quantity") \
+        .select(F.round("rmse", 6).alias("rmse"))
+
+
+@register("als_rmse")
+def q_als_rmse(spark, d):
+    train, test = V.train_test(spark, d)
+    return R.als_rmse(train, test, seed=V.SPLIT_SEED)
+
+
+@register("als_bias_rmse")
+def q_als_bias_rmse(spark, d):
+    train, test = V.train_test(spark, d)
+    return R.als_bias_rmse(train, test, seed=V.SPLIT_SEED)
+
+
+@register("als_coverage", V.with_views(
+    "SELECT count(*) AS n FROM test WHERE userId IN (SELECT userId FROM train) "
+    "AND itemId IN (SELECT itemId FROM train)", "train", "test"))
+def q_als_coverage(spark, d):
+    train, test = V.train_test(spark, d)
+    return tabular.row_count(R.als_predictions(train, test, seed=V.SPLIT_SEED))
+
+
+# ------------------------------------------------------ frequent itemsets ---
+
+SUPPORT, CONFIDENCE = 0.1, 0.3
+
+
+def _model(spark, d):
+    baskets = FI.baskets_from_pairs(V.basket_pairs(spark, d), "b", "i")
+    return baskets, FI.fit_fpgrowth(baskets, "items", SUPPORT, CONFIDENCE)
+
+
+@register("baskets", V.with_views(
+    "SELECT CAST(row_number() OVER (ORDER BY b) - 1 AS BIGINT) AS id, b AS key, items FROM "
+    "(SELECT b, string_agg(i, ',' ORDER BY i) AS items FROM basket GROUP BY b)", "basket"))
+def q_baskets(spark, d):
+    b = FI.baskets_from_pairs(V.basket_pairs(spark, d), "b", "i").withColumnRenamed("b", "key")
+    t = FI.basket_table(b, "key", "items")
+    return t.select("id", "key", F.array_join("items", ",").alias("items"))
+
+
+@register("frequent_itemsets", V.with_views(
+    "WITH " + OS.itemsets_cte("basket", SUPPORT) +
+    " SELECT array_to_string(items, ',') AS items, freq FROM fi", "basket"))
+def q_frequent_itemsets(spark, d):
+    _, model = _model(spark, d)
+    f = FI.frequent_itemsets(model)
+    return f.select(joined("items").alias("items"), "freq")
+
+
+@register("association_rules", V.with_views(
+    "WITH " + OS.itemsets_cte("basket", SUPPORT) + ",\n" + OS.rules_cte(CONFIDENCE) +
+    " SELECT array_to_string(antecedent, ',') AS antecedent, consequent, confidence FROM ru",
+    "basket"))
+def q_association_rules(spark, d):
+    _, model = _model(spark, d)
+    r = FI.association_rules(model)
+    return r.select(joined("antecedent").alias("antecedent"),
+                    joined("consequent").alias("consequent"), "confidence")
+
+
+@register("rule_interest", V.with_views(
+    "WITH " + OS.itemsets_cte("basket", SUPPORT) + ",\n" + OS.rules_cte(CONFIDENCE) +
+    " SELECT array_to_string(r.antecedent, ',') AS antecedent, r.consequent, r.confidence, "
+    "r.consequent AS items, s.freq, abs(r.confidence - s.freq / (SELECT n FROM nb)) AS interest "
+    "FROM ru r JOIN s1 s ON s.items = [r.consequent]", "basket"))
+def q_rule_interest(spark, d):
+    baskets, model = _model(spark, d)
+    r = FI.rule_interest(model, baskets)
+    return r.select(joined("antecedent").alias("antecedent"),
+                    joined("consequent").alias("consequent"), "confidence",
+                    joined("items").alias("items"), "freq", "interest")
+
+
+# ------------------------------------------------- distance, clustering ---
+
+@register("incidence", V.with_views("SELECT entity, feature FROM inc", "inc"))
+def q_incidence(spark, d):
+    li = load_table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
+    o = load_table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = load_table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    sales = (li.join(o, li.l_orderkey == o.o_orderkey)
+             .join(c, F.col("o_custkey") == c.c_custkey)
+             .select(F.col("l_partkey").cast("string").alias("plant"),
+                     F.col("c_nationkey").cast("long").alias("state")))
+    # part → nations that bought it: the reference's plant → states baskets.
+    baskets = FI.baskets_from_pairs(sales, "plant", "state", "states")
+    nations = load_table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("entity"))
+    return M.incidence_from_baskets(baskets, "plant", "states", nations)
+
+
+@register("membership", V.with_views(
+    "SELECT p.entity, p.feature, EXISTS (SELECT 1 FROM inc i WHERE i.entity = p.entity "
+    "AND i.feature = p.feature) AS present FROM probes p", "inc", "probes"))
+def q_membership(spark, d):
+    return M.membership(V.supplier_part_probes(spark, d), V.inc(spark, d))
+
+
+@register("pair_distance", V.with_views(
+    "WITH sz AS (SELECT entity, count(*) AS n FROM inc GROUP BY entity), "
+    "ov AS (SELECT p.entity_a, p.entity_b, count(*) AS overlap FROM nation_pairs p "
+    "JOIN inc a ON a.entity = p.entity_a JOIN inc b ON b.entity = p.entity_b AND b.feature = a.feature "
+    "GROUP BY p.entity_a, p.entity_b) "
+    "SELECT p.entity_a, p.entity_b, CAST(coalesce(l.n, 0) + coalesce(r.n, 0) - 2 * coalesce(ov.overlap, 0) "
+    "AS BIGINT) AS d2 FROM nation_pairs p LEFT JOIN ov USING (entity_a, entity_b) "
+    "LEFT JOIN sz l ON l.entity = p.entity_a LEFT JOIN sz r ON r.entity = p.entity_b",
+    "inc", "nation_pairs"))
+def q_pair_distance(spark, d):
+    return M.pair_distance(V.nation_pairs(spark, d), V.inc(spark, d), "entity_a", "entity_b")
+
+
+SAMPLE_K, SEED = 5, 123
+
+
+@register("sample_keys", V.with_views(
+    "SELECT entity, CAST(rn - 1 AS INTEGER) AS ordinal FROM (SELECT entity, row_number() OVER "
+    f"(ORDER BY md5('{SEED}:' || CAST(entity AS VARCHAR)), entity) AS rn FROM "
+    f"(SELECT DISTINCT entity FROM inc)) WHERE rn <= {SAMPLE_K}", "inc"))
+def q_sample_keys(spark, d):
+    return SP.sample_keys(V.inc(spark, d), "entity", SAMPLE_K, SEED)
+
+
+def _km_sql(inc: str, k: int, updates: int, select: str, final_a: bool = True) -> str:
+    ctes, a, w = OS.kmeans_ctes(inc, k, SEED, updates)
+    body = select.format(A=a, W=w, A0="A0", W1="W1")
+    return V.with_views("WITH " + ",\n".join(ctes) + "\n" + body, inc)
+
+
+@register("nearest_centroid", _km_sql(
+    "inc2", 5, 0, "SELECT A.entity, A.cluster, S.centroid, A.d2_scaled FROM {A} A JOIN S USING (cluster)"))
+def q_nearest_centroid(spark, d):
+    return M.nearest_centroid(V.inc2(spark, d), 5, SEED)
+
+
+@register("cluster_members", _km_sql(
+    "inc", 4, 0, "SELECT A.cluster, S.centroid, A.entity, CAST(row_number() OVER (PARTITION BY A.cluster "
+    "ORDER BY A.entity) - 1 AS BIGINT) AS member_rank FROM {A} A JOIN S USING (cluster)"))
+def q_cluster_members(spark, d):
+    a = M.nearest_centroid(V.inc(spark, d), 4, SEED)
+    return M.cluster_members(a).select("cluster", "centroid", "entity", "member_rank")
+
+
+@register("centroid_update", _km_sql(
+    "inc2", 5, 1, "SELECT cluster, feature, w FROM {W}"))
+def q_centroid_update(spark, d):
+    inc = V.inc2(spark, d)
+    counts = M.feature_counts(inc)
+    clusters, w0 = M.initial_centroids(inc, counts, 5, SEED)
+    a0 = M.assign(inc, counts, clusters, w0)
+    return M.update_centroids(inc, a0, w0)
+
+
+KMEANS_K, KMEANS_UPDATES = 5, 5
+
+
+@register("kmeans", _km_sql(
+    "inc2", KMEANS_K, KMEANS_UPDATES, "SELECT entity, cluster, d2_scaled FROM {A}"))
+def q_kmeans(spark, d):
+    return M.kmeans(V.inc2(spark, d), KMEANS_K, SEED, max_iter=KMEANS_UPDATES)

@@ -120,3 +120,55 @@ def with_views(body: str, *names: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+def rating_records(spark: SparkSession, d: str) -> DataFrame:
+    """Ratings with a day-resolution timestamp (seconds since 1970 of the
+    pair's latest order day), the four fields of a ``::`` rating record."""
+    li = load_table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    o = load_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    day = F.datediff(F.max("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date"))
+    return (j.groupBy("o_custkey", "l_suppkey")
+            .agg(((F.sum(F.col("l_quantity").cast("int")) % 5) + 1).cast("int").alias("rating"),
+                 (day.cast("long") * 86400).alias("timestamp"))
+            .select(F.col("o_custkey").cast("int").alias("userId"),
+                    F.col("l_suppkey").cast("int").alias("itemId"), "rating", "timestamp"))
+
+
+def nation_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """(entity_a, entity_b): customer nation × supplier nation of every sale."""
+    li = load_table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
+    o = load_table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = load_table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    s = load_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+         .join(s, F.col("l_suppkey") == s.s_suppkey))
+    return j.select(F.col("c_nationkey").cast("long").alias("entity_a"),
+                    F.col("s_nationkey").cast("long").alias("entity_b")).distinct()
+
+
+def supplier_part_probes(spark: SparkSession, d: str) -> DataFrame:
+    """(entity, feature): supplier nation × part of every sale."""
+    li = load_table(spark, d, "lineitem").select("l_partkey", "l_suppkey")
+    s = load_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    return (li.join(s, li.l_suppkey == s.s_suppkey)
+            .select(F.col("s_nationkey").cast("long").alias("entity"),
+                    F.col("l_partkey").cast("string").alias("feature")).distinct())
+
+
+SQL.update({
+    "rating_records": (
+        "SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_suppkey AS INTEGER) AS itemId, "
+        "CAST((SUM(CAST(trunc(l_quantity) AS INTEGER)) % 5) + 1 AS INTEGER) AS rating, "
+        "CAST(datediff('day', DATE '1970-01-01', CAST(max(o_orderdate) AS DATE)) AS BIGINT) * 86400 "
+        "AS timestamp FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
+        "GROUP BY o_custkey, l_suppkey"),
+    "nation_pairs": (
+        "SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS entity_a, CAST(s_nationkey AS BIGINT) AS entity_b "
+        "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey "
+        "JOIN supplier ON l_suppkey = s_suppkey"),
+    "probes": (
+        "SELECT DISTINCT CAST(s_nationkey AS BIGINT) AS entity, CAST(l_partkey AS VARCHAR) AS feature "
+        "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"),
+})
