@@ -73,19 +73,29 @@ def pair_distance(pairs: DataFrame, incidence: DataFrame, left: str = "left",
                   right: str = "right", entity_col: str = "entity",
                   feature_col: str = "feature") -> DataFrame:
     """Squared Euclidean distance of the 0/1 vectors of each requested pair:
-    ``|A| + |B| − 2·|A ∩ B|``. Work is Σ over pairs of |A| (the left entity's
-    features), never all pairs that share a feature."""
-    p = pairs.select(left, right).distinct()
+    ``|A| + |B| − 2·|A ∩ B|``.
+
+    The overlap is found by walking the features of the smaller entity of
+    each pair and probing the larger one: work Σ over pairs of min(|A|, |B|),
+    never all pairs of entities that share a feature.
+    """
     inc = incidence.select(entity_col, feature_col)
-    lf = p.join(inc.withColumnRenamed(entity_col, left), left)
-    both = lf.join(inc.withColumnRenamed(entity_col, right), [right, feature_col], "left_semi")
-    overlap = both.groupBy(left, right).agg(F.count(F.lit(1)).alias("overlap"))
     sizes = inc.groupBy(entity_col).agg(F.count(F.lit(1)).alias("_n"))
-    out = (p.join(overlap, [left, right], "left")
-           .join(sizes.select(F.col(entity_col).alias(left), F.col("_n").alias("n_left")), left, "left")
-           .join(sizes.select(F.col(entity_col).alias(right), F.col("_n").alias("n_right")), right, "left"))
     z = F.lit(0)
-    d2 = (F.coalesce("n_left", z) + F.coalesce("n_right", z) - 2 * F.coalesce("overlap", z))
+    p = (pairs.select(left, right).distinct()
+         .join(sizes.select(F.col(entity_col).alias(left), F.col("_n").alias("n_left")), left, "left")
+         .join(sizes.select(F.col(entity_col).alias(right), F.col("_n").alias("n_right")), right, "left")
+         .withColumn("n_left", F.coalesce("n_left", z))
+         .withColumn("n_right", F.coalesce("n_right", z)))
+    swap = F.col("n_left") > F.col("n_right")
+    p = (p.withColumn("_small", F.when(swap, F.col(right)).otherwise(F.col(left)))
+          .withColumn("_big", F.when(swap, F.col(left)).otherwise(F.col(right))))
+    walk = (p.select("_small", "_big").distinct()
+            .join(inc.withColumnRenamed(entity_col, "_small"), "_small")
+            .join(inc.withColumnRenamed(entity_col, "_big"), ["_big", feature_col], "left_semi"))
+    overlap = walk.groupBy("_small", "_big").agg(F.count(F.lit(1)).alias("overlap"))
+    out = p.join(overlap, ["_small", "_big"], "left")
+    d2 = F.col("n_left") + F.col("n_right") - 2 * F.coalesce("overlap", z)
     return out.select(left, right, d2.cast("long").alias("d2"))
 
 
@@ -153,9 +163,14 @@ def _ckpt(df: DataFrame) -> DataFrame:
 
 def nearest_centroid(incidence: DataFrame, k: int, seed: int,
                      entities: DataFrame | None = None, entity_col: str = "entity",
-                     feature_col: str = "feature") -> DataFrame:
-    """One assignment pass from k sampled entities (the reference's first_iter)."""
+                     feature_col: str = "feature", materialize_input: bool = True) -> DataFrame:
+    """One assignment pass from k sampled entities (the reference's first_iter).
+
+    The incidence feeds three branches; ``materialize_input`` computes it once.
+    """
     inc = incidence.select(entity_col, feature_col)
+    if materialize_input:
+        inc = _ckpt(inc)
     counts = feature_counts(inc, entities, entity_col)
     clusters, weights = initial_centroids(inc, counts, k, seed, entity_col, feature_col)
     a = assign(inc, counts, clusters, weights, entity_col, feature_col)

@@ -63,6 +63,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/quarry-tables/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    For derived inputs that feed several branches of a plan (Spark would
+    otherwise recompute them per branch) and for the state of iterative
+    algorithms. Reliable checkpoint: survives the loss of any executor.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
