@@ -1,0 +1,11 @@
+"""Structured Streaming wiring for the counting operators.
+
+The reference has no streaming code. The tabular operators are DataFrame →
+DataFrame functions, so they apply unchanged to a streaming DataFrame; this
+package only provides the file-stream source and a sink with its checkpoint
+in the shared checkpoint folder.
+"""
+
+from quarry.streaming.counts import read_header_csv_stream, running_counts, start_running_counts
+
+__all__ = ["read_header_csv_stream", "running_counts", "start_running_counts"]

@@ -1,0 +1,43 @@
+"""Running value counts over header-CSV files that keep arriving in a folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from quarry.operators import tabular
+from quarry.session import scratch_path
+
+
+def read_header_csv_stream(spark: SparkSession, folder: str, schema: T.StructType,
+                           max_files_per_trigger: int | None = None) -> DataFrame:
+    """New CSV files of ``folder`` as a stream (a schema is required)."""
+    r = (spark.readStream.schema(schema).option("header", True).option("encoding", "UTF-8")
+         .option("quote", '"').option("escape", '"'))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.csv(folder)
+
+
+def running_counts(stream: DataFrame, col: str, count_col: str = "count") -> DataFrame:
+    """Count per non-empty value, kept up to date as files arrive (state: one
+    row per distinct value; partial aggregation per micro-batch)."""
+    return tabular._counts(stream, col, count_col)
+
+
+def start_running_counts(stream: DataFrame, col: str, sink: str = "memory",
+                         query_name: str = "running_counts",
+                         checkpoint_location: str | None = None,
+                         **options) -> StreamingQuery:
+    """Start the running counts in complete mode; the streaming checkpoint goes
+    to the shared checkpoint folder unless given."""
+    spark = stream.sparkSession
+    loc = checkpoint_location or scratch_path(spark, f"stream-{query_name}")
+    w = (running_counts(stream, col).writeStream.outputMode("complete").format(sink)
+         .option("checkpointLocation", loc))
+    if sink == "memory":
+        w = w.queryName(query_name)
+    for k, v in options.items():
+        w = w.option(k, v)
+    return w.start()

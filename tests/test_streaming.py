@@ -1,0 +1,23 @@
+from pyspark.sql import types as T
+
+from quarry.streaming import read_header_csv_stream, start_running_counts
+
+SCHEMA = T.StructType([T.StructField("Id", T.StringType()), T.StructField("Nom_parc", T.StringType())])
+
+
+def test_running_counts_update_with_new_files(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text('Id,Nom_parc\n1,"Parc, A"\n2,\n3,B\n', encoding="utf-8")
+    q = start_running_counts(read_header_csv_stream(spark, str(src), SCHEMA), "Nom_parc",
+                             query_name="park_counts_test")
+    try:
+        q.processAllAvailable()
+        got = {r[0]: r[1] for r in spark.sql("SELECT * FROM park_counts_test").collect()}
+        assert got == {"Parc, A": 1, "B": 1}
+        (src / "b.csv").write_text("Id,Nom_parc\n4,B\n5,C\n", encoding="utf-8")
+        q.processAllAvailable()
+        got = {r[0]: r[1] for r in spark.sql("SELECT * FROM park_counts_test").collect()}
+        assert got == {"Parc, A": 1, "B": 2, "C": 1}
+    finally:
+        q.stop()
