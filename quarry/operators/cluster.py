@@ -112,32 +112,48 @@ def initial_centroids(incidence: DataFrame, entities: DataFrame, k: int, seed: i
     return clusters, weights
 
 
+def _cluster_bits(k: int) -> int:
+    return max(1, (k - 1).bit_length())
+
+
 def assign(incidence: DataFrame, counts: DataFrame, clusters: DataFrame, weights: DataFrame,
-           entity_col: str = "entity", feature_col: str = "feature") -> DataFrame:
+           k: int, entity_col: str = "entity", feature_col: str = "feature") -> DataFrame:
     """Nearest centroid of every entity in ``counts`` → (entity, cluster, d2_scaled).
 
-    Ties go to the smaller cluster ordinal (the earlier drawn centroid).
+    Ties go to the smaller cluster ordinal (the earlier drawn centroid). The
+    argmin is a plain BIGINT ``min`` over ``score·2^b + ordinal`` (b bits hold
+    the k ordinals), so it runs as a hash aggregate with map-side partials.
     """
+    bits = _cluster_bits(k)
+    # |score| <= 2·UNIT²·(features of the centroid) <= 2·UNIT²·s2: keep it packable.
+    limit = (1 << 62) // (2 * UNIT * UNIT * (1 << bits))
+    s2 = F.coalesce("s2", F.lit(0)).cast("long")
     norms = (clusters.select("cluster")
              .join(weights.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("s2")),
                    "cluster", "left")
-             .select("cluster", F.coalesce("s2", F.lit(0)).cast("long").alias("s2")))
+             .select("cluster", F.when(s2 > limit, F.raise_error(F.lit(
+                 "centroid too large for packed argmin"))).otherwise(s2).cast("long").alias("s2")))
+
+    def pack(score, cluster):
+        return score * F.lit(1 << bits) + cluster
+
     # Best centroid the entity shares no feature with: its score is the bare
     # norm, so it is the overall smallest (norm, ordinal) - if that centroid
     # does share a feature, its true score is strictly lower and already in
     # ``best``. One scalar over k rows, no entity × centroid product.
-    fallback = norms.agg(F.min(F.struct(F.col("s2").alias("score"), F.col("cluster")))).scalar()
+    fallback = norms.agg(F.min(pack(F.col("s2"), F.col("cluster")))).scalar()
 
     dots = (incidence.select(entity_col, feature_col).join(weights, feature_col)
             .groupBy(entity_col, "cluster").agg(F.sum("w").alias("dot")))
     scored = dots.join(F.broadcast(norms), "cluster").select(
-        entity_col, "cluster", (F.col("s2") - 2 * UNIT * F.col("dot")).alias("score"))
-    best = scored.groupBy(entity_col).agg(F.min(F.struct("score", "cluster")).alias("best"))
-    e = counts.join(best, entity_col, "left")
+        entity_col, pack(F.col("s2") - 2 * UNIT * F.col("dot"), F.col("cluster")).alias("p"))
+    best = scored.groupBy(entity_col).agg(F.min("p").alias("best"))
     choice = F.least(F.col("best"), fallback)
-    e = e.withColumn("_choice", choice)
-    return e.select(entity_col, F.col("_choice.cluster").alias("cluster"),
-                    (F.col("n") * SCALE + F.col("_choice.score")).cast("long").alias("d2_scaled"))
+    e = counts.join(best, entity_col, "left").withColumn("_choice", choice)
+    return e.select(entity_col,
+                    F.col("_choice").bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias("cluster"),
+                    (F.col("n") * SCALE + F.shiftright("_choice", bits)).cast("long")
+                    .alias("d2_scaled"))
 
 
 def update_centroids(incidence: DataFrame, assignment: DataFrame, weights: DataFrame,
@@ -161,19 +177,29 @@ def _ckpt(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def nearest_centroid(incidence: DataFrame, k: int, seed: int,
+def first_assignment(incidence: DataFrame, k: int, seed: int,
                      entities: DataFrame | None = None, entity_col: str = "entity",
-                     feature_col: str = "feature", materialize_input: bool = True) -> DataFrame:
-    """One assignment pass from k sampled entities (the reference's first_iter).
-
-    The incidence feeds three branches; ``materialize_input`` computes it once.
-    """
+                     feature_col: str = "feature", materialize_input: bool = True):
+    """Start of Lloyd's algorithm: (incidence, counts, clusters, weights,
+    assignment). The inputs every later step re-reads are computed once."""
     inc = incidence.select(entity_col, feature_col)
     if materialize_input:
         inc = _ckpt(inc)
-    counts = feature_counts(inc, entities, entity_col)
+    counts = _ckpt(feature_counts(inc, entities, entity_col))
     clusters, weights = initial_centroids(inc, counts, k, seed, entity_col, feature_col)
-    a = assign(inc, counts, clusters, weights, entity_col, feature_col)
+    clusters = _ckpt(clusters)
+    weights = _ckpt(weights)
+    a = assign(inc, counts, clusters, weights, k, entity_col, feature_col)
+    return inc, counts, clusters, weights, a
+
+
+def nearest_centroid(incidence: DataFrame, k: int, seed: int,
+                     entities: DataFrame | None = None, entity_col: str = "entity",
+                     feature_col: str = "feature", materialize_input: bool = True) -> DataFrame:
+    """One assignment pass from k sampled entities (the reference's first_iter):
+    (entity, cluster, centroid, d2_scaled)."""
+    _, _, clusters, _, a = first_assignment(incidence, k, seed, entities, entity_col,
+                                            feature_col, materialize_input)
     return a.join(F.broadcast(clusters), "cluster").select(entity_col, "cluster", "centroid",
                                                            "d2_scaled")
 
@@ -192,15 +218,12 @@ def kmeans(incidence: DataFrame, k: int, seed: int, max_iter: int = 20,
     or ``max_iter`` centroid updates. Each pass is checkpointed to the shared
     checkpoint folder (lineage stays one pass long; a lost executor recomputes
     at most one pass). Returns (entity, cluster, d2_scaled)."""
-    inc = _ckpt(incidence.select(entity_col, feature_col))
-    counts = _ckpt(feature_counts(inc, entities, entity_col))
-    clusters, weights = initial_centroids(inc, counts, k, seed, entity_col, feature_col)
-    clusters = _ckpt(clusters)
-    weights = _ckpt(weights)
-    current = _ckpt(assign(inc, counts, clusters, weights, entity_col, feature_col))
+    inc, counts, clusters, weights, a = first_assignment(incidence, k, seed, entities,
+                                                         entity_col, feature_col)
+    current = _ckpt(a)
     for _ in range(max_iter):
         weights = _ckpt(update_centroids(inc, current, weights, entity_col, feature_col))
-        nxt = _ckpt(assign(inc, counts, clusters, weights, entity_col, feature_col))
+        nxt = _ckpt(assign(inc, counts, clusters, weights, k, entity_col, feature_col))
         moved = (nxt.alias("n").join(current.alias("o"), entity_col)
                  .where(F.col("n.cluster") != F.col("o.cluster")).limit(1).count())
         current = nxt

@@ -355,10 +355,7 @@ def q_cluster_members(spark, d):
 @register("centroid_update", _km_sql(
     "inc2", 5, 1, "SELECT cluster, feature, w FROM {W}"))
 def q_centroid_update(spark, d):
-    inc = materialize(V.inc2(spark, d))
-    counts = M.feature_counts(inc)
-    clusters, w0 = M.initial_centroids(inc, counts, 5, SEED)
-    a0 = M.assign(inc, counts, clusters, w0)
+    inc, _, _, w0, a0 = M.first_assignment(V.inc2(spark, d), 5, SEED)
     return M.update_centroids(inc, a0, w0)
 
 
