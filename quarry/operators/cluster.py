@@ -20,12 +20,14 @@ norm), never by an entity × centroid cross product.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.ids import contiguous_id
 from quarry.operators.split import sample_keys
-from quarry.session import checkpoint_dir
+from quarry.session import checkpoint_dir, default_parallelism, write_bucketed
 
 SCALE = 10_000      # distances are reported as d2_scaled = 10⁴·d²
 UNIT = 100          # weight of a 1 in hundredths
@@ -116,14 +118,59 @@ def _cluster_bits(k: int) -> int:
     return max(1, (k - 1).bit_length())
 
 
-def assign(incidence: DataFrame, counts: DataFrame, clusters: DataFrame, weights: DataFrame,
+@dataclass
+class Layout:
+    """The incidence as k-means reads it, partitioned once for every pass.
+
+    ``by_entity`` is a table bucketed on the entity: the per-entity sums, the
+    argmin, the centroid-update join and the moved-entity check all run on it,
+    and on the per-pass assignment tables bucketed the same way, without
+    shuffling the incidence again. The centroid weights (k × features rows) are
+    broadcast into it when their row count, checked up front, is at most
+    ``max_broadcast_rows``; beyond that ``by_feature`` (bucketed on the
+    feature) is kept as well and the weights are shuffle-joined to it.
+    """
+    by_entity: DataFrame
+    by_feature: DataFrame | None
+    buckets: int
+    entity_col: str = "entity"
+    feature_col: str = "feature"
+
+
+# k × features rows of (int, string, long): about 40-100 MB at this bound.
+MAX_BROADCAST_WEIGHT_ROWS = 2_000_000
+
+
+def prepare_incidence(incidence: DataFrame, k: int, entity_col: str = "entity",
+                      feature_col: str = "feature",
+                      max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS) -> Layout:
+    spark = incidence.sparkSession
+    buckets = default_parallelism(spark)
+    pairs = incidence.select(entity_col, feature_col).repartition(buckets, entity_col).distinct()
+    by_entity = write_bucketed(pairs, entity_col, buckets, "inc_e")
+    n_features = by_entity.agg(F.approx_count_distinct(feature_col, 0.05)).first()[0]
+    by_feature = None
+    if k * int(n_features * 1.1 + 1) > max_broadcast_rows:
+        by_feature = write_bucketed(by_entity, feature_col, buckets, "inc_f")
+    return Layout(by_entity, by_feature, buckets, entity_col, feature_col)
+
+
+def _as_layout(incidence, k, entity_col, feature_col) -> Layout:
+    if isinstance(incidence, Layout):
+        return incidence
+    return Layout(incidence.select(entity_col, feature_col), None, 0, entity_col, feature_col)
+
+
+def assign(incidence, counts: DataFrame, clusters: DataFrame, weights: DataFrame,
            k: int, entity_col: str = "entity", feature_col: str = "feature") -> DataFrame:
     """Nearest centroid of every entity in ``counts`` → (entity, cluster, d2_scaled).
 
-    Ties go to the smaller cluster ordinal (the earlier drawn centroid). The
-    argmin is a plain BIGINT ``min`` over ``score·2^b + ordinal`` (b bits hold
-    the k ordinals), so it runs as a hash aggregate with map-side partials.
+    ``incidence`` is a DataFrame or a ``Layout``. Ties go to the smaller cluster
+    ordinal (the earlier drawn centroid). The argmin is a plain BIGINT ``min``
+    over ``score·2^b + ordinal`` (b bits hold the k ordinals), so it runs as a
+    hash aggregate with map-side partials.
     """
+    lay = _as_layout(incidence, k, entity_col, feature_col)
     bits = _cluster_bits(k)
     # |score| <= 2·UNIT²·(features of the centroid) <= 2·UNIT²·s2: keep it packable.
     limit = (1 << 62) // (2 * UNIT * UNIT * (1 << bits))
@@ -143,8 +190,14 @@ def assign(incidence: DataFrame, counts: DataFrame, clusters: DataFrame, weights
     # ``best``. One scalar over k rows, no entity × centroid product.
     fallback = norms.agg(F.min(pack(F.col("s2"), F.col("cluster")))).scalar()
 
-    dots = (incidence.select(entity_col, feature_col).join(weights, feature_col)
-            .groupBy(entity_col, "cluster").agg(F.sum("w").alias("dot")))
+    w = weights.select(feature_col, "cluster", "w")
+    if lay.by_feature is None:
+        # size checked in prepare_incidence (or a plain DataFrame: AQE decides)
+        joined = lay.by_entity.join(F.broadcast(w) if isinstance(incidence, Layout) else w,
+                                    feature_col)
+    else:
+        joined = lay.by_feature.join(w, feature_col)
+    dots = joined.groupBy(entity_col, "cluster").agg(F.sum("w").alias("dot"))
     scored = dots.join(F.broadcast(norms), "cluster").select(
         entity_col, pack(F.col("s2") - 2 * UNIT * F.col("dot"), F.col("cluster")).alias("p"))
     best = scored.groupBy(entity_col).agg(F.min("p").alias("best"))
@@ -156,11 +209,13 @@ def assign(incidence: DataFrame, counts: DataFrame, clusters: DataFrame, weights
                     .alias("d2_scaled"))
 
 
-def update_centroids(incidence: DataFrame, assignment: DataFrame, weights: DataFrame,
+def update_centroids(incidence, assignment: DataFrame, weights: DataFrame,
                      entity_col: str = "entity", feature_col: str = "feature") -> DataFrame:
     """Per (cluster, feature): share of members with the feature, rounded half
     up to 2 decimals, as hundredths. A cluster left without members keeps its
-    previous weights."""
+    previous weights. ``incidence`` is a DataFrame or a ``Layout``."""
+    if isinstance(incidence, Layout):
+        incidence = incidence.by_entity
     sizes = assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
     have = (assignment.select(entity_col, "cluster")
             .join(incidence.select(entity_col, feature_col), entity_col)
@@ -179,27 +234,29 @@ def _ckpt(df: DataFrame) -> DataFrame:
 
 def first_assignment(incidence: DataFrame, k: int, seed: int,
                      entities: DataFrame | None = None, entity_col: str = "entity",
-                     feature_col: str = "feature", materialize_input: bool = True):
-    """Start of Lloyd's algorithm: (incidence, counts, clusters, weights,
-    assignment). The inputs every later step re-reads are computed once."""
-    inc = incidence.select(entity_col, feature_col)
-    if materialize_input:
-        inc = _ckpt(inc)
-    counts = _ckpt(feature_counts(inc, entities, entity_col))
-    clusters, weights = initial_centroids(inc, counts, k, seed, entity_col, feature_col)
+                     feature_col: str = "feature",
+                     max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS):
+    """Start of Lloyd's algorithm: (layout, counts, clusters, weights,
+    assignment). The incidence is bucketed once; the per-entity counts
+    (bucketed the same way), the k sampled centroids and their weights are
+    computed once."""
+    lay = prepare_incidence(incidence, k, entity_col, feature_col, max_broadcast_rows)
+    counts = write_bucketed(feature_counts(lay.by_entity, entities, entity_col), entity_col,
+                            lay.buckets, "counts")
+    clusters, weights = initial_centroids(lay.by_entity, counts, k, seed, entity_col, feature_col)
     clusters = _ckpt(clusters)
     weights = _ckpt(weights)
-    a = assign(inc, counts, clusters, weights, k, entity_col, feature_col)
-    return inc, counts, clusters, weights, a
+    a = assign(lay, counts, clusters, weights, k, entity_col, feature_col)
+    return lay, counts, clusters, weights, a
 
 
 def nearest_centroid(incidence: DataFrame, k: int, seed: int,
                      entities: DataFrame | None = None, entity_col: str = "entity",
-                     feature_col: str = "feature", materialize_input: bool = True) -> DataFrame:
+                     feature_col: str = "feature") -> DataFrame:
     """One assignment pass from k sampled entities (the reference's first_iter):
     (entity, cluster, centroid, d2_scaled)."""
     _, _, clusters, _, a = first_assignment(incidence, k, seed, entities, entity_col,
-                                            feature_col, materialize_input)
+                                            feature_col)
     return a.join(F.broadcast(clusters), "cluster").select(entity_col, "cluster", "centroid",
                                                            "d2_scaled")
 
@@ -213,17 +270,22 @@ def cluster_members(assignment: DataFrame, entity_col: str = "entity",
 
 def kmeans(incidence: DataFrame, k: int, seed: int, max_iter: int = 20,
            entities: DataFrame | None = None, entity_col: str = "entity",
-           feature_col: str = "feature", return_weights: bool = False):
+           feature_col: str = "feature", return_weights: bool = False,
+           max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS):
     """Lloyd's k-means from k sampled entities until no entity changes cluster
     or ``max_iter`` centroid updates. Each pass is checkpointed to the shared
     checkpoint folder (lineage stays one pass long; a lost executor recomputes
-    at most one pass). Returns (entity, cluster, d2_scaled)."""
+    at most one pass; the tables are bucketed so no pass re-shuffles the
+    incidence). Returns (entity, cluster, d2_scaled)."""
     inc, counts, clusters, weights, a = first_assignment(incidence, k, seed, entities,
-                                                         entity_col, feature_col)
-    current = _ckpt(a)
+                                                         entity_col, feature_col,
+                                                         max_broadcast_rows)
+    # Each pass's assignment is a table bucketed on the entity, like the incidence.
+    current = write_bucketed(a, entity_col, inc.buckets, "assign")
     for _ in range(max_iter):
         weights = _ckpt(update_centroids(inc, current, weights, entity_col, feature_col))
-        nxt = _ckpt(assign(inc, counts, clusters, weights, k, entity_col, feature_col))
+        nxt = write_bucketed(assign(inc, counts, clusters, weights, k, entity_col, feature_col),
+                             entity_col, inc.buckets, "assign")
         moved = (nxt.alias("n").join(current.alias("o"), entity_col)
                  .where(F.col("n.cluster") != F.col("o.cluster")).limit(1).count())
         current = nxt

@@ -95,10 +95,11 @@ def test_kmeans_matches_brute_force_and_partitioning(spark):
     entities = sorted({e for e, _ in pairs} | {"nofeat"})
     dim = spark.createDataFrame([(e,) for e in entities], "entity string")
     want = brute_kmeans(pairs, entities, 4, 11, 6)
-    for parts in (1, 7):
+    # 1 or 7 input partitions; weights broadcast or shuffle-joined (size check)
+    for parts, bcast in ((1, M.MAX_BROADCAST_WEIGHT_ROWS), (7, 0)):
         inc = inc_df(spark, pairs).repartition(parts)
-        got = {r.entity: (r.cluster, Fraction(r.d2_scaled, M.SCALE))
-               for r in M.kmeans(inc, 4, 11, max_iter=6, entities=dim).collect()}
+        res = M.kmeans(inc, 4, 11, max_iter=6, entities=dim, max_broadcast_rows=bcast)
+        got = {r.entity: (r.cluster, Fraction(r.d2_scaled, M.SCALE)) for r in res.collect()}
         assert got == want
 
 
