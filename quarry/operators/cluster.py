@@ -147,7 +147,7 @@ def prepare_incidence(incidence: DataFrame, k: int, entity_col: str = "entity",
     spark = incidence.sparkSession
     buckets = default_parallelism(spark)
     pairs = incidence.select(entity_col, feature_col).repartition(buckets, entity_col).distinct()
-    by_entity = write_bucketed(pairs, entity_col, buckets, "inc_e")
+    by_entity = write_bucketed(pairs, entity_col, buckets, "inc_e", partitioned=True)
     n_features = by_entity.agg(F.approx_count_distinct(feature_col, 0.05)).first()[0]
     by_feature = None
     if k * int(n_features * 1.1 + 1) > max_broadcast_rows:
@@ -242,7 +242,7 @@ def first_assignment(incidence: DataFrame, k: int, seed: int,
     computed once."""
     lay = prepare_incidence(incidence, k, entity_col, feature_col, max_broadcast_rows)
     counts = write_bucketed(feature_counts(lay.by_entity, entities, entity_col), entity_col,
-                            lay.buckets, "counts")
+                            lay.buckets, "counts", partitioned=entities is None)
     clusters, weights = initial_centroids(lay.by_entity, counts, k, seed, entity_col, feature_col)
     clusters = _ckpt(clusters)
     weights = _ckpt(weights)
@@ -281,11 +281,11 @@ def kmeans(incidence: DataFrame, k: int, seed: int, max_iter: int = 20,
                                                          entity_col, feature_col,
                                                          max_broadcast_rows)
     # Each pass's assignment is a table bucketed on the entity, like the incidence.
-    current = write_bucketed(a, entity_col, inc.buckets, "assign")
+    current = write_bucketed(a, entity_col, inc.buckets, "assign", partitioned=True)
     for _ in range(max_iter):
         weights = _ckpt(update_centroids(inc, current, weights, entity_col, feature_col))
         nxt = write_bucketed(assign(inc, counts, clusters, weights, k, entity_col, feature_col),
-                             entity_col, inc.buckets, "assign")
+                             entity_col, inc.buckets, "assign", partitioned=True)
         moved = (nxt.alias("n").join(current.alias("o"), entity_col)
                  .where(F.col("n.cluster") != F.col("o.cluster")).limit(1).count())
         current = nxt
