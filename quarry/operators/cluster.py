@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.ids import contiguous_id
 from quarry.operators.split import sample_keys
-from quarry.session import checkpoint_dir, default_parallelism, write_bucketed
+from quarry.session import checkpoint_dir
 
 SCALE = 10_000      # distances are reported as d2_scaled = 10⁴·d²
 UNIT = 100          # weight of a 1 in hundredths
@@ -120,45 +120,53 @@ def _cluster_bits(k: int) -> int:
 
 @dataclass
 class Layout:
-    """The incidence as k-means reads it, partitioned once for every pass.
-
-    ``by_entity`` is a table bucketed on the entity: the per-entity sums, the
-    argmin, the centroid-update join and the moved-entity check all run on it,
-    and on the per-pass assignment tables bucketed the same way, without
-    shuffling the incidence again. The centroid weights (k × features rows) are
-    broadcast into it when their row count, checked up front, is at most
-    ``max_broadcast_rows``; beyond that ``by_feature`` (bucketed on the
-    feature) is kept as well and the weights are shuffle-joined to it.
+    """The incidence as k-means reads it, computed once for every pass.
+
+    ``incidence`` is checkpointed and stays spread over (entity, feature), so
+    an entity holding a large share of the rows is split over all tasks; every
+    per-entity sum is aggregated map-side first (at most k partial rows per
+    entity and task). Two size checks, made once up front, decide the joins:
+
+    * centroid weights (k × features rows) are broadcast into the incidence
+      when ``weights_broadcast``; otherwise shuffle-joined on the feature
+      (AQE splits a hot feature);
+    * the assignment (one row per entity) is broadcast into the centroid
+      update when ``assignment_broadcast``; otherwise shuffle-joined on the
+      entity (AQE splits a hot entity).
+
+    With both broadcasts no pass shuffles the incidence at all.
     """
-    by_entity: DataFrame
-    by_feature: DataFrame | None
-    buckets: int
+    incidence: DataFrame
+    weights_broadcast: bool
+    assignment_broadcast: bool
     entity_col: str = "entity"
     feature_col: str = "feature"
 
 
-# k × features rows of (int, string, long): about 40-100 MB at this bound.
+# Size bounds for broadcasting: rows of (int, string, long) and (long, int).
 MAX_BROADCAST_WEIGHT_ROWS = 2_000_000
+MAX_BROADCAST_ENTITY_ROWS = 5_000_000
 
 
 def prepare_incidence(incidence: DataFrame, k: int, entity_col: str = "entity",
                       feature_col: str = "feature",
-                      max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS) -> Layout:
-    spark = incidence.sparkSession
-    buckets = default_parallelism(spark)
-    pairs = incidence.select(entity_col, feature_col).repartition(buckets, entity_col).distinct()
-    by_entity = write_bucketed(pairs, entity_col, buckets, "inc_e", partitioned=True)
-    n_features = by_entity.agg(F.approx_count_distinct(feature_col, 0.05)).first()[0]
-    by_feature = None
-    if k * int(n_features * 1.1 + 1) > max_broadcast_rows:
-        by_feature = write_bucketed(by_entity, feature_col, buckets, "inc_f")
-    return Layout(by_entity, by_feature, buckets, entity_col, feature_col)
+                      max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS,
+                      max_broadcast_entities: int = MAX_BROADCAST_ENTITY_ROWS) -> Layout:
+    inc = _ckpt(incidence.select(entity_col, feature_col).distinct())
+    est = inc.agg(F.approx_count_distinct(feature_col, 0.05).alias("nf"),
+                  F.approx_count_distinct(entity_col, 0.05).alias("ne")).first()
+    # 10% headroom over the 5% relative error of the estimate
+    return Layout(inc,
+                  k * int(est["nf"] * 1.1 + 1) <= max_broadcast_rows,
+                  int(est["ne"] * 1.1 + 1) <= max_broadcast_entities,
+                  entity_col, feature_col)
 
 
 def _as_layout(incidence, k, entity_col, feature_col) -> Layout:
     if isinstance(incidence, Layout):
         return incidence
-    return Layout(incidence.select(entity_col, feature_col), None, 0, entity_col, feature_col)
+    # a plain DataFrame: no size known, AQE chooses the joins
+    return Layout(incidence.select(entity_col, feature_col), False, False, entity_col, feature_col)
 
 
 def assign(incidence, counts: DataFrame, clusters: DataFrame, weights: DataFrame,
@@ -191,12 +199,7 @@ def assign(incidence, counts: DataFrame, clusters: DataFrame, weights: DataFrame
     fallback = norms.agg(F.min(pack(F.col("s2"), F.col("cluster")))).scalar()
 
     w = weights.select(feature_col, "cluster", "w")
-    if lay.by_feature is None:
-        # size checked in prepare_incidence (or a plain DataFrame: AQE decides)
-        joined = lay.by_entity.join(F.broadcast(w) if isinstance(incidence, Layout) else w,
-                                    feature_col)
-    else:
-        joined = lay.by_feature.join(w, feature_col)
+    joined = lay.incidence.join(F.broadcast(w) if lay.weights_broadcast else w, feature_col)
     dots = joined.groupBy(entity_col, "cluster").agg(F.sum("w").alias("dot"))
     scored = dots.join(F.broadcast(norms), "cluster").select(
         entity_col, pack(F.col("s2") - 2 * UNIT * F.col("dot"), F.col("cluster")).alias("p"))
@@ -214,11 +217,12 @@ def update_centroids(incidence, assignment: DataFrame, weights: DataFrame,
     """Per (cluster, feature): share of members with the feature, rounded half
     up to 2 decimals, as hundredths. A cluster left without members keeps its
     previous weights. ``incidence`` is a DataFrame or a ``Layout``."""
-    if isinstance(incidence, Layout):
-        incidence = incidence.by_entity
+    lay = _as_layout(incidence, 0, entity_col, feature_col)
     sizes = assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
-    have = (assignment.select(entity_col, "cluster")
-            .join(incidence.select(entity_col, feature_col), entity_col)
+    members = assignment.select(entity_col, "cluster")
+    if lay.assignment_broadcast:
+        members = F.broadcast(members)
+    have = (lay.incidence.join(members, entity_col)
             .groupBy("cluster", feature_col).agg(F.count(F.lit(1)).alias("s")))
     w = F.expr(f"({2 * UNIT} * s + c) div (2 * c)")
     new = (have.join(F.broadcast(sizes), "cluster")
@@ -235,15 +239,15 @@ def _ckpt(df: DataFrame) -> DataFrame:
 def first_assignment(incidence: DataFrame, k: int, seed: int,
                      entities: DataFrame | None = None, entity_col: str = "entity",
                      feature_col: str = "feature",
-                     max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS):
+                     max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS,
+                     max_broadcast_entities: int = MAX_BROADCAST_ENTITY_ROWS):
     """Start of Lloyd's algorithm: (layout, counts, clusters, weights,
-    assignment). The incidence is bucketed once; the per-entity counts
-    (bucketed the same way), the k sampled centroids and their weights are
-    computed once."""
-    lay = prepare_incidence(incidence, k, entity_col, feature_col, max_broadcast_rows)
-    counts = write_bucketed(feature_counts(lay.by_entity, entities, entity_col), entity_col,
-                            lay.buckets, "counts", partitioned=entities is None)
-    clusters, weights = initial_centroids(lay.by_entity, counts, k, seed, entity_col, feature_col)
+    assignment). The incidence, the per-entity counts, the k sampled
+    centroids and their weights are computed once."""
+    lay = prepare_incidence(incidence, k, entity_col, feature_col, max_broadcast_rows,
+                            max_broadcast_entities)
+    counts = _ckpt(feature_counts(lay.incidence, entities, entity_col))
+    clusters, weights = initial_centroids(lay.incidence, counts, k, seed, entity_col, feature_col)
     clusters = _ckpt(clusters)
     weights = _ckpt(weights)
     a = assign(lay, counts, clusters, weights, k, entity_col, feature_col)
@@ -271,21 +275,20 @@ def cluster_members(assignment: DataFrame, entity_col: str = "entity",
 def kmeans(incidence: DataFrame, k: int, seed: int, max_iter: int = 20,
            entities: DataFrame | None = None, entity_col: str = "entity",
            feature_col: str = "feature", return_weights: bool = False,
-           max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS):
+           max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS,
+           max_broadcast_entities: int = MAX_BROADCAST_ENTITY_ROWS):
     """Lloyd's k-means from k sampled entities until no entity changes cluster
     or ``max_iter`` centroid updates. Each pass is checkpointed to the shared
     checkpoint folder (lineage stays one pass long; a lost executor recomputes
-    at most one pass; the tables are bucketed so no pass re-shuffles the
-    incidence). Returns (entity, cluster, d2_scaled)."""
+    at most one pass). Returns (entity, cluster, d2_scaled)."""
     inc, counts, clusters, weights, a = first_assignment(incidence, k, seed, entities,
                                                          entity_col, feature_col,
-                                                         max_broadcast_rows)
-    # Each pass's assignment is a table bucketed on the entity, like the incidence.
-    current = write_bucketed(a, entity_col, inc.buckets, "assign", partitioned=True)
+                                                         max_broadcast_rows,
+                                                         max_broadcast_entities)
+    current = _ckpt(a)
     for _ in range(max_iter):
         weights = _ckpt(update_centroids(inc, current, weights, entity_col, feature_col))
-        nxt = write_bucketed(assign(inc, counts, clusters, weights, k, entity_col, feature_col),
-                             entity_col, inc.buckets, "assign", partitioned=True)
+        nxt = _ckpt(assign(inc, counts, clusters, weights, k, entity_col, feature_col))
         moved = (nxt.alias("n").join(current.alias("o"), entity_col)
                  .where(F.col("n.cluster") != F.col("o.cluster")).limit(1).count())
         current = nxt

@@ -74,27 +74,6 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def write_bucketed(df, key: str, buckets: int | None = None, hint: str = "t",
-                   partitioned: bool = False):
-    """Write ``df`` as a table bucketed (and sorted) on ``key`` in the shared
-    checkpoint folder and return it.
-
-    Unlike a checkpoint, a bucketed table keeps its hash partitioning: later
-    joins and aggregations on ``key`` with tables of the same bucket count run
-    without a shuffle. Also cuts the lineage. ``partitioned=True`` skips the
-    repartition when ``df`` already comes hash-partitioned on ``key`` into
-    ``buckets`` partitions (e.g. it is derived from such tables); bucket ids
-    are computed per row either way, so the result is the same.
-    """
-    spark = df.sparkSession
-    n = buckets or default_parallelism(spark)
-    name = f"quarry_{hint}_{uuid.uuid4().hex[:16]}"
-    data = df if partitioned else df.repartition(n, key)
-    (data.write.bucketBy(n, key).sortBy(key)
-       .option("path", scratch_path(spark, name)).saveAsTable(name))
-    return spark.table(name)
-
-
 def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -98,7 +98,8 @@ def test_kmeans_matches_brute_force_and_partitioning(spark):
     # 1 or 7 input partitions; weights broadcast or shuffle-joined (size check)
     for parts, bcast in ((1, M.MAX_BROADCAST_WEIGHT_ROWS), (7, 0)):
         inc = inc_df(spark, pairs).repartition(parts)
-        res = M.kmeans(inc, 4, 11, max_iter=6, entities=dim, max_broadcast_rows=bcast)
+        res = M.kmeans(inc, 4, 11, max_iter=6, entities=dim, max_broadcast_rows=bcast,
+                       max_broadcast_entities=bcast)
         got = {r.entity: (r.cluster, Fraction(r.d2_scaled, M.SCALE)) for r in res.collect()}
         assert got == want
 
