@@ -80,9 +80,18 @@ def bias_rmse(train: DataFrame, test: DataFrame, user: str = "userId", item: str
 ALS_DEFAULTS = {"maxIter": 5, "rank": 70, "regParam": 0.01}
 
 
-def _als(user: str, item: str, rating_col: str, seed: int, **params):
+# Upper bound of ALS user/item blocks: more blocks add parallelism but also
+# factor traffic between blocks.
+MAX_ALS_BLOCKS = 4096
+
+
+def _als(user: str, item: str, rating_col: str, seed: int, spark=None, **params):
     from pyspark.ml.recommendation import ALS
     p = dict(ALS_DEFAULTS)
+    if spark is not None:
+        # one block per core (Spark's default of 10 leaves a large cluster idle)
+        blocks = max(1, min(spark.sparkContext.defaultParallelism, MAX_ALS_BLOCKS))
+        p.update(numUserBlocks=blocks, numItemBlocks=blocks)
     p.update(params)
     return ALS(userCol=user, itemCol=item, ratingCol=rating_col, coldStartStrategy="drop",
                seed=seed, **p)
@@ -100,7 +109,7 @@ def als_predictions(train: DataFrame, test: DataFrame, user: str = "userId",
                     **params) -> DataFrame:
     """Test rows scored by ALS fitted on ``train``; unseen users/items dropped."""
     _check_int_ids(train, user, item)
-    model = _als(user, item, rating, seed, **params).fit(train)
+    model = _als(user, item, rating, seed, train.sparkSession, **params).fit(train)
     out = model.transform(test)
     return out.withColumn("prediction", F.col("prediction").cast("double"))
 
@@ -118,7 +127,8 @@ def als_bias_predictions(train: DataFrame, test: DataFrame, user: str = "userId"
     ``ALS(i) + user_mean + item_mean − global_mean``."""
     _check_int_ids(train, user, item)
     inter = bias_interaction(train, user, item, rating, ordered=False)
-    model = _als(user, item, "user_item_interaction", seed, **params).fit(inter)
+    model = _als(user, item, "user_item_interaction", seed, train.sparkSession,
+                 **params).fit(inter)
     scored = model.transform(with_bias_terms(test, train, user, item, rating))
     rebuilt = (F.col("prediction").cast("double") + F.col("user_mean") + F.col("item_mean")
                - F.col("global_mean"))
