@@ -135,7 +135,7 @@ def q_csv_lines(spark, d):
     "UNION ALL SELECT 'test' AS part, count(*) AS n, CAST(sum(rating) AS BIGINT) AS rating_sum FROM test",
     "train", "test"))
 def q_hash_split(spark, d):
-    train, test = V.train_test(spark, d)
+    train, test = V.train_test(spark, d, reuse=True)
     def side(df, name):
         return df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n"),
                       F.sum("rating").cast("long").alias("rating_sum"))
@@ -145,7 +145,7 @@ def q_hash_split(spark, d):
 @register("random_split", V.with_views(
     "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_shared_keys FROM ratings", "ratings"))
 def q_random_split(spark, d):
-    parts = SP.random_split(V.ratings(spark, d), [0.8, 0.2], V.SPLIT_SEED)
+    parts = SP.random_split(materialize(V.ratings(spark, d)), [0.8, 0.2], V.SPLIT_SEED)
     return SP.split_check(parts, ["userId", "itemId"])
 
 
@@ -162,7 +162,7 @@ def q_global_mean(spark, d):
     "UNION ALL SELECT 'item' AS kind, itemId AS id, avg(rating) AS mean FROM train GROUP BY itemId",
     "train"))
 def q_group_means(spark, d):
-    train, _ = V.train_test(spark, d)
+    train, _ = V.train_test(spark, d, reuse=True)
     u = R.group_means(train, "userId").select(F.lit("user").alias("kind"),
                                               F.col("userId").alias("id"), "mean")
     i = R.group_means(train, "itemId").select(F.lit("item").alias("kind"),
@@ -236,8 +236,10 @@ def q_als_coverage(spark, d):
 SUPPORT, CONFIDENCE = 0.1, 0.3
 
 
-def _model(spark, d):
+def _model(spark, d, reuse: bool = False):
     baskets = FI.baskets_from_pairs(V.basket_pairs(spark, d), "b", "i")
+    if reuse:  # read twice: by the fit and by the basket count N
+        baskets = materialize(baskets)
     return baskets, FI.fit_fpgrowth(baskets, "items", SUPPORT, CONFIDENCE)
 
 
@@ -276,7 +278,7 @@ def q_association_rules(spark, d):
     "r.consequent AS items, s.freq, abs(r.confidence - s.freq / (SELECT n FROM nb)) AS interest "
     "FROM ru r JOIN s1 s ON s.items = [r.consequent]", "basket"))
 def q_rule_interest(spark, d):
-    baskets, model = _model(spark, d)
+    baskets, model = _model(spark, d, reuse=True)
     r = FI.rule_interest(model, baskets)
     return r.select(joined("antecedent").alias("antecedent"),
                     joined("consequent").alias("consequent"), "confidence",
