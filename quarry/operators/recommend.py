@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.exprs import rmse_expr
+from quarry.session import core_count
 
 
 def global_mean(train: DataFrame, rating: str = "rating", out: str = "global_mean") -> DataFrame:
@@ -90,7 +91,7 @@ def _als(user: str, item: str, rating_col: str, seed: int, spark=None, **params)
     p = dict(ALS_DEFAULTS)
     if spark is not None:
         # one block per core (Spark's default of 10 leaves a large cluster idle)
-        blocks = max(1, min(spark.sparkContext.defaultParallelism, MAX_ALS_BLOCKS))
+        blocks = max(1, min(core_count(spark), MAX_ALS_BLOCKS))
         p.update(numUserBlocks=blocks, numItemBlocks=blocks)
     p.update(params)
     return ALS(userCol=user, itemCol=item, ratingCol=rating_col, coldStartStrategy="drop",

@@ -41,7 +41,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from the running context or from ``spark.checkpoint.dir``; only a
     local-mode session with neither gets a folder of its own (tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -60,6 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set")
     return f"{base}/quarry-tables/{name}-{uuid.uuid4().hex}"
 
 
@@ -78,6 +83,14 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def core_count(spark: SparkSession) -> int:
+    """Task slots of the cluster (falls back to the shuffle partition count)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return default_parallelism(spark)
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
