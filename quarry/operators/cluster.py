@@ -106,10 +106,12 @@ def pair_distance(pairs: DataFrame, incidence: DataFrame, left: str = "left",
 def initial_centroids(incidence: DataFrame, entities: DataFrame, k: int, seed: int,
                       entity_col: str = "entity", feature_col: str = "feature"
                       ) -> tuple[DataFrame, DataFrame]:
-    """k sampled entities; returns (clusters(cluster, centroid), weights(cluster, feature, w))."""
-    picked = sample_keys(entities, entity_col, k, seed, "cluster")
+    """k sampled entities; returns (clusters(cluster, centroid), weights(cluster, feature, w)).
+
+    The k-row sample is computed once and broadcast (bounded by k)."""
+    picked = _ckpt(sample_keys(entities, entity_col, k, seed, "cluster"))
     clusters = picked.select("cluster", F.col(entity_col).alias("centroid"))
-    weights = (incidence.join(picked, entity_col)
+    weights = (incidence.join(F.broadcast(picked), entity_col)
                .select("cluster", feature_col, F.lit(UNIT).cast("long").alias("w")))
     return clusters, weights
 
@@ -248,7 +250,6 @@ def first_assignment(incidence: DataFrame, k: int, seed: int,
                             max_broadcast_entities)
     counts = _ckpt(feature_counts(lay.incidence, entities, entity_col))
     clusters, weights = initial_centroids(lay.incidence, counts, k, seed, entity_col, feature_col)
-    clusters = _ckpt(clusters)
     weights = _ckpt(weights)
     a = assign(lay, counts, clusters, weights, k, entity_col, feature_col)
     return lay, counts, clusters, weights, a
