@@ -52,7 +52,11 @@ def contiguous_id(df: DataFrame, order_cols: list[str], id_col: str = "id",
     if not groups:
         # One row per partition: bounded by the partition count, safe to broadcast.
         offsets = F.broadcast(offsets)
-    out = ranged.join(offsets.drop("_qid_n"), ["_qid_pid", *groups])
+    r, o = ranged.alias("_r"), offsets.alias("_o")
+    # null-safe on the group columns: a NULL group is a group too
+    cond = [F.col("_r._qid_pid") == F.col("_o._qid_pid")] + [
+        F.col(f"_r.{g}").eqNullSafe(F.col(f"_o.{g}")) for g in groups]
+    out = r.join(o, cond).select("_r.*", "_o._qid_off", "_o._qid_first")
     ident = F.col("_qid_off") + F.col("_qid_loc") - F.col("_qid_first")
     return out.withColumn(id_col, ident.cast("long")).drop(
         tie, "_qid_mid", "_qid_pid", "_qid_loc", "_qid_off", "_qid_first")

@@ -57,6 +57,14 @@ def test_contiguous_id_within_groups(spark):
         assert r["rank"] == r["v"]
 
 
+def test_contiguous_id_null_group_and_order(spark):
+    rows = [(None, 3), (None, 1), ("a", None), ("a", 2), (None, None)]
+    df = spark.createDataFrame(rows, "g string, v int")
+    out = contiguous_id(df, ["v"], "rank", group_cols=["g"], num_partitions=3).collect()
+    got = sorted((r.g or "", r.rank, r.v if r.v is not None else -1) for r in out)
+    assert got == [("", 0, -1), ("", 1, 1), ("", 2, 3), ("a", 0, -1), ("a", 1, 2)]
+
+
 def test_first_n_with_id(spark):
     df = spark.createDataFrame([(i,) for i in range(20, 0, -1)], "v int")
     got = [(r["id"], r["v"]) for r in first_n_with_id(df, ["v"], 3).collect()]
