@@ -21,6 +21,28 @@ _SCALE_CONF = {
 }
 
 
+_MB = 1 << 20
+
+
+def recommended_conf(input_bytes: int, cores: int) -> dict:
+    """Partition sizing from the input size and the cluster's task slots.
+
+    * shuffle partitions: about one per 512 MB of input, at least two waves of
+      tasks and at most 50,000 (AQE coalesces small ones; beyond ~50k the map
+      side's per-partition bookkeeping dominates, so partitions grow instead);
+    * file splits: 128 MB, 256 MB above 1 TB of input (fewer, longer scan tasks);
+    * AQE target partition size 256 MB, skew threshold 512 MB.
+    """
+    parts = max(2 * cores, min(50_000, input_bytes // (512 * _MB)))
+    split = 256 * _MB if input_bytes > (1 << 40) else 128 * _MB
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * _MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * _MB),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "quarry", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
