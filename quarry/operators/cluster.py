@@ -229,7 +229,7 @@ def update_centroids(incidence, assignment: DataFrame, weights: DataFrame,
     w = F.expr(f"({2 * UNIT} * s + c) div (2 * c)")
     new = (have.join(F.broadcast(sizes), "cluster")
            .select("cluster", feature_col, w.cast("long").alias("w")).where(F.col("w") > 0))
-    kept = weights.join(sizes.select("cluster"), "cluster", "left_anti")
+    kept = weights.join(F.broadcast(sizes.select("cluster")), "cluster", "left_anti")
     return new.unionByName(kept)
 
 

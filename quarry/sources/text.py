@@ -36,7 +36,12 @@ def read_header_csv(spark: SparkSession, path: str, schema: T.StructType | str |
               .option("quote", '"').option("escape", '"'))
     if schema is not None:
         reader = reader.schema(schema).option("mode", "FAILFAST")
-    return reader.csv(path)
+    df = reader.csv(path)
+    # a UTF-8 byte-order mark would otherwise stick to the first header name
+    renames = {c: c.lstrip("\ufeff") for c in df.columns if c.startswith("\ufeff")}
+    for old, new in renames.items():
+        df = df.withColumnRenamed(old, new)
+    return df
 
 
 def write_header_csv(df: DataFrame, path: str) -> None:

@@ -18,6 +18,14 @@ def test_header_csv_quoting_and_accents(spark, tmp_path):
     assert names == ["Lafontaine, parc", "d'Iberville \"nord\"", "Émile"]
 
 
+def test_header_csv_with_byte_order_mark(spark, tmp_path):
+    p = tmp_path / "bom.csv"
+    p.write_bytes("\ufeffNom_parc,x\nA,1\n".encode("utf-8"))
+    df = S.read_header_csv(spark, str(p))
+    assert df.columns == ["Nom_parc", "x"]
+    assert df.first()["Nom_parc"] == "A"
+
+
 def test_delimited_records_fail_and_drop(spark, tmp_path):
     p = tmp_path / "r.txt"
     p.write_text("0::2::3::1424380312\n1::x::1::1424380312\n2::5\n", encoding="utf-8")
