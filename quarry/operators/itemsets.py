@@ -34,10 +34,11 @@ def basket_table(baskets: DataFrame, key_col: str, items_col: str,
 def fit_fpgrowth(baskets: DataFrame, items_col: str = "items", min_support: float = 0.1,
                  min_confidence: float = 0.3):
     """FP-Growth model; duplicate and NULL items of a basket are removed first
-    (Spark rejects duplicates)."""
+    (Spark rejects duplicates). A basket without items still counts in N."""
     from pyspark.ml.fpm import FPGrowth
+    items = F.coalesce(F.col(items_col), F.array().cast(baskets.schema[items_col].dataType))
     clean = baskets.select(
-        F.array_distinct(F.filter(F.col(items_col), lambda x: x.isNotNull())).alias("items"))
+        F.array_distinct(F.filter(items, lambda x: x.isNotNull())).alias("items"))
     fp = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
     return fp.fit(clean)
 
