@@ -77,7 +77,7 @@ def read_delimited_records(spark: SparkSession, path: str, fields: list[tuple[st
     ok = F.size(parts) >= F.lit(len(fields))
     for i, (name, t) in enumerate(fields):
         dt = _as_type(t)
-        raw = parts.getItem(i)
+        raw = F.get(parts, F.lit(i))  # NULL, not an error, on a short line
         if isinstance(dt, T.StringType):
             c = raw
         else:
@@ -108,7 +108,9 @@ def read_ragged_baskets(spark: SparkSession, path: str, sep: str = ",",
     With ``keep_line_order`` the columns of ``LINE_ORDER`` are kept so that a
     contiguous id in file order can be assigned (``operators.ids``).
     """
-    lines = _with_line_order(spark.read.text(path))
+    lines = spark.read.text(path)
+    if keep_line_order:
+        lines = _with_line_order(lines)
     parts = F.split(F.col("value"), _literal_pattern(sep), -1)
     out = [parts.getItem(0).alias(key_col),
            F.slice(parts, 2, F.size(parts) - 1).alias(items_col)]
