@@ -334,9 +334,11 @@ def q_sample_keys(spark, d):
     return SP.sample_keys(V.inc(spark, d), "entity", SAMPLE_K, SEED)
 
 
-def _km_sql(inc: str, k: int, updates: int, select: str, final_a: bool = True) -> str:
+def _km_sql(inc: str, k: int, updates: int, select: str) -> str:
+    """Oracle: ``updates`` Lloyd passes as chained CTEs; ``{A}``/``{W}`` in
+    ``select`` name the final assignment / weights."""
     ctes, a, w = OS.kmeans_ctes(inc, k, SEED, updates)
-    body = select.format(A=a, W=w, A0="A0", W1="W1")
+    body = select.format(A=a, W=w)
     return V.with_views("WITH " + ",\n".join(ctes) + "\n" + body, inc)
 
 
