@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.exprs import rmse_expr
+from quarry.operators.ids import dense_index
 from quarry.session import core_count
 
 
@@ -98,20 +99,33 @@ def _als(user: str, item: str, rating_col: str, seed: int, spark=None, **params)
                seed=seed, **p)
 
 
-def _check_int_ids(df: DataFrame, *cols: str) -> None:
-    for c in cols:
-        if not isinstance(df.schema[c].dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            raise TypeError(
-                f"ALS needs INT ids; index column {c!r} first (operators.ids.dense_index)")
+_INT_TYPES = (T.IntegerType, T.ShortType, T.ByteType)
+
+
+def _as_int_ids(train: DataFrame, test: DataFrame, user: str, item: str):
+    """ALS needs INT ids. Long or string ids are numbered densely (distributed
+    contiguous id over the training ids) and joined in; test rows whose id has
+    no training row fall out of the inner join, the rows cold-start "drop"
+    removes anyway. Returns (train, test, user column, item column)."""
+    cols = {}
+    for c in (user, item):
+        if isinstance(train.schema[c].dataType, _INT_TYPES):
+            cols[c] = c
+            continue
+        idx_col = f"_{c}_index"
+        idx = dense_index(train, c, idx_col)
+        train, test = train.join(idx, c), test.join(idx, c)
+        cols[c] = idx_col
+    return train, test, cols[user], cols[item]
 
 
 def als_predictions(train: DataFrame, test: DataFrame, user: str = "userId",
                     item: str = "itemId", rating: str = "rating", seed: int = 123,
                     **params) -> DataFrame:
     """Test rows scored by ALS fitted on ``train``; unseen users/items dropped."""
-    _check_int_ids(train, user, item)
-    model = _als(user, item, rating, seed, train.sparkSession, **params).fit(train)
-    out = model.transform(test)
+    tr, te, u, i = _as_int_ids(train, test, user, item)
+    model = _als(u, i, rating, seed, train.sparkSession, **params).fit(tr)
+    out = model.transform(te)
     return out.withColumn("prediction", F.col("prediction").cast("double"))
 
 
@@ -126,11 +140,11 @@ def als_bias_predictions(train: DataFrame, test: DataFrame, user: str = "userId"
                          **params) -> DataFrame:
     """ALS fitted on the user-item interaction; prediction rebuilt as
     ``ALS(i) + user_mean + item_mean − global_mean``."""
-    _check_int_ids(train, user, item)
     inter = bias_interaction(train, user, item, rating, ordered=False)
-    model = _als(user, item, "user_item_interaction", seed, train.sparkSession,
-                 **params).fit(inter)
-    scored = model.transform(with_bias_terms(test, train, user, item, rating))
+    test_b = with_bias_terms(test, train, user, item, rating)
+    inter, test_b, u, i = _as_int_ids(inter, test_b, user, item)
+    model = _als(u, i, "user_item_interaction", seed, train.sparkSession, **params).fit(inter)
+    scored = model.transform(test_b)
     rebuilt = (F.col("prediction").cast("double") + F.col("user_mean") + F.col("item_mean")
                - F.col("global_mean"))
     return scored.withColumn("prediction", rebuilt)

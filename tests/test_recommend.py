@@ -59,6 +59,16 @@ def test_als_runs_and_drops_cold_start(spark):
     assert math.isfinite(R.als_bias_rmse(train, test, seed=1, rank=2, maxIter=3).first()["rmse"])
 
 
+def test_als_indexes_long_and_string_ids(spark):
+    big = [(3_000_000_000 + u, f"item-{i}", r) for u, i, r in TRAIN]
+    big_test = [(3_000_000_000 + u, f"item-{i}", r) for u, i, r in TEST]
+    schema = "userId long, itemId string, rating int"
+    train, test = spark.createDataFrame(big, schema), spark.createDataFrame(big_test, schema)
+    preds = R.als_predictions(train, test, seed=1, rank=2, maxIter=3)
+    assert preds.count() == 2
+    assert math.isfinite(R.als_bias_rmse(train, test, seed=1, rank=2, maxIter=3).first()["rmse"])
+
+
 def test_hash_split_disjoint_complete_partition_independent(spark):
     df = spark.range(2000).select((F.col("id") % 97).cast("int").alias("userId"),
                                   F.floor(F.col("id") / 97).cast("int").alias("itemId"),
