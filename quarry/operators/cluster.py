@@ -75,7 +75,8 @@ def pair_distance(pairs: DataFrame, incidence: DataFrame, left: str = "left",
                   right: str = "right", entity_col: str = "entity",
                   feature_col: str = "feature") -> DataFrame:
     """Squared Euclidean distance of the 0/1 vectors of each requested pair:
-    ``|A| + |B| − 2·|A ∩ B|``.
+    ``|A| + |B| − 2·|A ∩ B|``. ``incidence`` holds distinct (entity, feature)
+    pairs, as ``incidence_from_baskets`` produces them.
 
     The overlap is found by walking the features of the smaller entity of
     each pair and probing the larger one: work Σ over pairs of min(|A|, |B|),
