@@ -71,19 +71,28 @@ def feature_counts(incidence: DataFrame, entities: DataFrame | None = None,
     return dim.join(n, entity_col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
+# Rows of (long, string) probe pairs: about 150-250 MB as a hashed relation.
+MAX_BROADCAST_PROBE_ROWS = 5_000_000
+
+
 def pair_distance(pairs: DataFrame, incidence: DataFrame, left: str = "left",
                   right: str = "right", entity_col: str = "entity",
-                  feature_col: str = "feature") -> DataFrame:
+                  feature_col: str = "feature",
+                  max_broadcast_rows: int = MAX_BROADCAST_PROBE_ROWS) -> DataFrame:
     """Squared Euclidean distance of the 0/1 vectors of each requested pair:
     ``|A| + |B| − 2·|A ∩ B|``. ``incidence`` holds distinct (entity, feature)
     pairs, as ``incidence_from_baskets`` produces them.
 
     The overlap is found by walking the features of the smaller entity of
     each pair and probing the larger one: work Σ over pairs of min(|A|, |B|),
-    never all pairs of entities that share a feature.
+    never all pairs of entities that share a feature. The per-entity sizes
+    are computed once; their total (the incidence row count) decides whether
+    the probe side is broadcast (at most ``max_broadcast_rows``) or
+    shuffle-joined on (entity, feature).
     """
     inc = incidence.select(entity_col, feature_col)
-    sizes = inc.groupBy(entity_col).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = _ckpt(inc.groupBy(entity_col).agg(F.count(F.lit(1)).alias("_n")))
+    total = sizes.agg(F.sum("_n")).first()[0] or 0
     z = F.lit(0)
     p = (pairs.select(left, right).distinct()
          .join(sizes.select(F.col(entity_col).alias(left), F.col("_n").alias("n_left")), left, "left")
@@ -93,9 +102,12 @@ def pair_distance(pairs: DataFrame, incidence: DataFrame, left: str = "left",
     swap = F.col("n_left") > F.col("n_right")
     p = (p.withColumn("_small", F.when(swap, F.col(right)).otherwise(F.col(left)))
           .withColumn("_big", F.when(swap, F.col(left)).otherwise(F.col(right))))
+    probe = inc.withColumnRenamed(entity_col, "_big")
+    if total <= max_broadcast_rows:
+        probe = F.broadcast(probe)
     walk = (p.select("_small", "_big").distinct()
             .join(inc.withColumnRenamed(entity_col, "_small"), "_small")
-            .join(inc.withColumnRenamed(entity_col, "_big"), ["_big", feature_col], "left_semi"))
+            .join(probe, ["_big", feature_col], "left_semi"))
     overlap = walk.groupBy("_small", "_big").agg(F.count(F.lit(1)).alias("overlap"))
     out = p.join(overlap, ["_small", "_big"], "left")
     d2 = F.col("n_left") + F.col("n_right") - 2 * F.coalesce("overlap", z)

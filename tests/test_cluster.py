@@ -45,9 +45,11 @@ def test_pair_distance_brute_force(spark):
     ents = sorted(vec)
     asked = [(a, b) for a in ents[:6] for b in ents] + [("empty", "e00"), ("solo", "dup1")]
     df = spark.createDataFrame(asked, "a string, b string")
-    got = {(r.a, r.b): r.d2 for r in M.pair_distance(df, inc_df(spark, pairs), "a", "b").collect()}
-    for a, b in asked:
-        assert got[(a, b)] == len(vec[a] ^ vec[b])
+    for bound in (M.MAX_BROADCAST_PROBE_ROWS, 0):  # broadcast probe / shuffled semi join
+        res = M.pair_distance(df, inc_df(spark, pairs), "a", "b", max_broadcast_rows=bound)
+        got = {(r.a, r.b): r.d2 for r in res.collect()}
+        for a, b in asked:
+            assert got[(a, b)] == len(vec[a] ^ vec[b])
     assert got[("e00", "e00")] == 0
 
 
