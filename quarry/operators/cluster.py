@@ -302,10 +302,14 @@ def kmeans(incidence: DataFrame, k: int, seed: int, max_iter: int = 20,
     current = _ckpt(a)
     for _ in range(max_iter):
         weights = _ckpt(update_centroids(inc, current, weights, entity_col, feature_col))
-        nxt = _ckpt(assign(inc, counts, clusters, weights, k, entity_col, feature_col))
-        moved = (nxt.alias("n").join(current.alias("o"), entity_col)
-                 .where(F.col("n.cluster") != F.col("o.cluster")).limit(1).count())
-        current = nxt
+        # the moved flag is computed in the same job as the new assignment
+        prev = current.select(entity_col, F.col("cluster").alias("_prev"))
+        nxt = _ckpt(assign(inc, counts, clusters, weights, k, entity_col, feature_col)
+                    .join(prev, entity_col, "left")
+                    .withColumn("_moved", ~F.col("cluster").eqNullSafe(F.col("_prev")))
+                    .drop("_prev"))
+        moved = nxt.where("_moved").limit(1).count()
+        current = nxt.drop("_moved")
         if moved == 0:
             break
     return (current, weights) if return_weights else current
