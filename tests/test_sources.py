@@ -61,3 +61,13 @@ def test_csv_line_python_str(spark):
         "id long, key string, items array<string>, flag boolean, x double")
     lines = [r[0] for r in df.select(csv_line(df)).collect()]
     assert lines == ["0,abelia,['fl', 'nc'],True,3.0", "1,None,[],False,None"]
+
+
+def test_csv_lines_sink_and_empty_result(spark, tmp_path):
+    from quarry.plans.file_jobs import as_lines
+    df = spark.createDataFrame([("a", 2), ("b, c", 1)], "name string, n long")
+    out = str(tmp_path / "lines")
+    S.write_csv_lines(df, out)
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["a,2", "b, c,1"]
+    empty = as_lines(df.where("n > 5"))  # an empty result is an empty frame, not an error
+    assert empty.count() == 0 and empty.columns == ["line"]
