@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import exact_dedup, url_filter
+from quarry.llm import bpe, exact_dedup, planes, url_filter
 from quarry.sources.tables import load_table
 
 
+def op5_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    chunks = planes.written(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return planes.read_back(chunks, planes.chunk_index(chunks))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(load_table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents")
     return exact_dedup.memberships(docs, exact_dedup.DigestIndex(spark))
@@ -20,6 +32,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_planes": op5_planes,
+    "op7_bpe": op7_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
 }
