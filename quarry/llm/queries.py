@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, exact_dedup, planes, url_filter
+from quarry.llm import bpe, exact_dedup, near_dedup, planes, url_filter
 from quarry.sources.tables import load_table
 
 
@@ -17,6 +17,10 @@ def op5_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read_back(chunks, planes.chunk_index(chunks))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.components(load_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(load_table(spark, sf_dir, "documents"),
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -33,12 +37,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_planes": op5_planes,
+    "op6_near_dedup": op6_near_dedup,
     "op7_bpe": op7_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
 ORACLE: dict[str, str] = {
+    "op6_near_dedup": near_dedup.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_url_filter": url_filter.SQL,
 }
