@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, exact_dedup, near_dedup, planes, url_filter
+from quarry.llm import bpe, decontaminate, exact_dedup, near_dedup, planes, quality, url_filter
 from quarry.sources.tables import load_table
 
 
@@ -15,6 +15,11 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.fit(docs, load_table(spark, sf_dir, "labels")))
+
+
 def op5_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents")
     chunks = planes.written(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -41,6 +46,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op3_quality": op3_quality,
     "op5_planes": op5_planes,
     "op6_near_dedup": op6_near_dedup,
     "op7_bpe": op7_bpe,
