@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, exact_dedup, near_dedup, planes, quality, url_filter
+from quarry.llm import bpe, decontaminate, exact_dedup, near_dedup, pii, planes, quality, url_filter
 from quarry.sources.tables import load_table
 
 
@@ -35,6 +35,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = pii.scanned(load_table(spark, sf_dir, "documents"))
+    return pii.spans_found(spans, pii.fit(spans))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents")
     return exact_dedup.memberships(docs, exact_dedup.DigestIndex(spark))
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_planes": op5_planes,
     "op6_near_dedup": op6_near_dedup,
     "op7_bpe": op7_bpe,
+    "op8_pii": op8_pii,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
 }
