@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, decontaminate, exact_dedup, near_dedup, pii, planes, quality, url_filter
+from quarry.llm import bpe, chat, decontaminate, exact_dedup, line_chunks, near_dedup, pii, planes, quality, url_filter
 from quarry.sources.tables import load_table
 
 
@@ -15,11 +15,23 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
 
 
+def op2_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.deduplicated(load_table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents")
     return quality.scored(docs, quality.fit(docs, load_table(spark, sf_dir, "labels")))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    added = spark.createDataFrame([(-1, 0, "user", chat.HOSTILE), (-1, 1, "assistant", chat.HOSTILE)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = load_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    return chat.read_back(chat.formatted(rows, path), path).drop("n_tokens")
+
+
 def op5_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents")
     chunks = planes.written(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -51,7 +63,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_line_chunks": op2_line_chunks,
     "op3_quality": op3_quality,
+    "op4_chat": op4_chat,
     "op5_planes": op5_planes,
     "op6_near_dedup": op6_near_dedup,
     "op7_bpe": op7_bpe,
@@ -61,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_chat": chat.SQL,
     "op6_near_dedup": near_dedup.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_url_filter": url_filter.SQL,
