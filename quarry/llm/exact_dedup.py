@@ -92,9 +92,9 @@ def deduplicated(docs: DataFrame, index: DigestIndex) -> DataFrame:
     together, so no group of copies meets in one task.
     """
     fresh = index.add(saved(digest_rows(docs), "digest-rows"))
-    keep = fresh.select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep"))
-    marked = docs.select("*", text_digest().alias("__digest"))
-    on = (marked["__digest"] == keep["_digest"]) & marked["doc_id"].eqNullSafe(keep["_keep"])
+    keep = fresh.select(F.col("digest").alias("__quarry_kept"), F.col("keep_id").alias("__quarry_id"))
+    marked = docs.select("*", text_digest().alias("__quarry_digest"))
+    on = (marked["__quarry_digest"] == keep["__quarry_kept"]) & marked["doc_id"].eqNullSafe(keep["__quarry_id"])
     return marked.join(keep, on, "left_semi").select(*[marked[f"`{c}`"] for c in docs.columns])
 
 

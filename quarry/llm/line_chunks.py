@@ -1,10 +1,11 @@
 """Line deduplication with content-defined chunks.
 
 A text's lines are hashed; a chunk ends after a line where the rolling hash of the
-last ROLL line hashes is 0 modulo DIVISOR (or after MOST_LINES lines), so the same
-run of lines is cut alike wherever it stands, whatever is inserted before it. A
-line of LONG_LINE words or more is a chunk of its own. A chunk counts when it has
-two lines with words, or is such a long line. Of every chunk that occurs more than
+last ROLL line hashes is 0 modulo DIVISOR (or after MOST_LINES lines), once it has
+two lines with words, so the same run of lines is soon cut alike wherever it
+stands, whatever is inserted before it. A line of LONG_LINE words or more is a
+chunk of its own. A chunk counts when it has two lines with words, or is such a
+long line. Of every chunk that occurs more than
 once in the corpus the first occurrence (smallest doc_id, then place) stays; the
 others are removed after their bytes were compared with it. A chunk whose hash
 only collides stays.
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from quarry.llm.arrow import columns, map_batches
 from quarry.llm.store import saved
 
-ROLL, DIVISOR, MOST_LINES, LONG_LINE = 2, 3, 32, 50
+ROLL, DIVISOR, MOST_LINES, LONG_LINE = 2, 2, 32, 50
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -45,15 +46,16 @@ def chunks(text: str) -> list[tuple[int, int, bool]]:
     roll = (roll ^ roll >> np.uint64(29)) * _B >> np.uint64(33)
     ends = (roll % np.uint64(DIVISOR) == 0).tolist()
     words = [len(x.split()) for x in lines]
-    out, first = [], 0
+    out, first, full = [], 0, 0  # full: lines with words in the open chunk
     for k, n in enumerate(words):
         long = n >= LONG_LINE
         if long and first < k:
-            out.append((first, k, sum(map(bool, words[first:k])) > 1))
-            first = k
-        if long or ends[k] or k - first + 1 >= MOST_LINES or k + 1 == len(lines):
-            out.append((first, k + 1, long or sum(map(bool, words[first:k + 1])) > 1))
-            first = k + 1
+            out.append((first, k, full > 1))
+            first, full = k, 0
+        full += n > 0
+        if long or ends[k] and full > 1 or k - first + 1 >= MOST_LINES or k + 1 == len(lines):
+            out.append((first, k + 1, long or full > 1))
+            first, full = k + 1, 0
     return out
 
 
