@@ -46,6 +46,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _HAS_DIGIT = re.compile(r"[0-9]")
 _AT = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}"
                  r"(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]{1,63}){1,8}", re.I)
+_SPELLED_AT, _SPELLED_DOT = (re.compile(rf" ?[\[(] ?{w} ?[\])] ?", re.I) for w in ("at", "dot"))
 _BRACKETED_AT = re.compile(r"[\[(] ?at ?[\])]", re.I)
 _BARE_PHONE = re.compile(r"[0-9(](?:[ ().-]{0,3}[0-9])+")
 _SIX = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Fa-f:])")
@@ -162,8 +163,9 @@ def votes(text: str, start: int, kind: int, end: int) -> list[int]:
     digits = _only_digits(s)
     six = kind == IP and ":" in s
     if kind == EMAIL:
-        strict, valid = bool(_MAILBOX.match(s)), "@" in s and ".." not in s
-        gazetteer = any(p.lower() in DOMAINS for p in re.split(r"[^A-Za-z0-9-]+", s)[1:])
+        address = _SPELLED_DOT.sub(".", _SPELLED_AT.sub("@", s))
+        strict, valid = bool(_MAILBOX.match(address)), ".." not in address
+        gazetteer = any(p.lower() in DOMAINS for p in address.partition("@")[2].split("."))
     elif kind == IP:
         parts = s.split(".")
         strict = six or all(p == str(int(p)) for p in parts if len(p) < 5)

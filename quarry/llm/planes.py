@@ -38,8 +38,6 @@ from quarry.session import default_parallelism
 CHUNK = 1 << 16
 MAGIC = b"TPL1"
 _CHUNK_ROW = "part int, chunk long, n_ids int, docs array<struct<ord: long, doc_id: long, n: int>>, payload binary"
-#: Texts with other characters are handed to the library whole: its Unicode tables may differ there.
-_SAME_CLASSES = 0x530
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -69,22 +67,13 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memory = pretokens.Memory(lambda _, tokens: self.whole(tokens), np.int32)
+        self.memory = pretokens.Memory(self.resolve, np.int32)
 
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def resolve(self, _, tokens: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(tokens, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [k for k, t in enumerate(texts) if t.isascii() or int(pretokens.code_points(t).max()) < _SAME_CLASSES]
-        ids, counts = pretokens.encode([texts[k] for k in plain], self.memory)
-        if len(plain) == len(texts):
-            return ids, counts
-        parts = dict(zip(plain, np.split(ids, np.cumsum(counts)[:-1])))
-        for k, t in enumerate(texts):
-            if k not in parts:
-                parts[k] = np.array(self.whole([t])[0], np.int32)
-        each = [parts[k] for k in range(len(texts))]
-        return np.concatenate(each), np.array([len(e) for e in each], np.int64)
+        return pretokens.encode(texts, self.memory)
 
 
 @cache

@@ -10,6 +10,7 @@ point, so that each distinct one is resolved once.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import chain
@@ -26,12 +27,18 @@ _M1, _M2, _BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F),
 
 @cache
 def class_table() -> np.ndarray:
-    """The class of every code point."""
+    """The class of every code point.
+
+    Letters and numbers that Python's own Unicode tables do not know yet are of the
+    class OTHER, as in the tokenizer libraries (compared for every code point).
+    """
     table = np.full(0x110000, OTHER, np.uint8)
     every = "".join(map(chr, range(0x110000)))
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         for m in regex.finditer(pattern, every):
             table[m.start():m.end()] = kind
+    new = [c for c in np.flatnonzero((table == LETTER) | (table == NUMBER)).tolist() if unicodedata.category(chr(c)) == "Cn"]
+    table[new] = OTHER
     return table
 
 
