@@ -1,7 +1,6 @@
 """Column expressions shared by the operators (all JVM-side built-ins)."""
 
 from quarry.functions.exprs import (
-    array_repr,
     csv_line,
     hash_bucket,
     is_nonempty,
@@ -12,6 +11,6 @@ from quarry.functions.exprs import (
 )
 
 __all__ = [
-    "array_repr", "csv_line", "hash_bucket", "is_nonempty", "joined", "py_str",
+    "csv_line", "hash_bucket", "is_nonempty", "joined", "py_str",
     "rmse_expr", "seeded_order",
 ]

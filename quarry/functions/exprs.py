@@ -22,28 +22,62 @@ def is_nonempty(df: DataFrame, name: str) -> Column:
     return c.isNotNull()
 
 
-def array_repr(c) -> Column:
-    """Python ``str()`` of a list of strings: ``['a', 'b']``; ``[]`` if empty."""
-    c = _col(c)
-    return (F.when(c.isNull(), F.lit("None"))
-            .when(F.size(c) == 0, F.lit("[]"))
-            .otherwise(F.concat(F.lit("['"), F.array_join(c, "', '"), F.lit("']"))))
+def _float_text(c: Column) -> Column:
+    """Python ``repr`` of a double: positional for exponents -4..15, else ``1e-05``."""
+    text = c.cast("string")
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), "^-", "")
+    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), "(?<=.)0+$", "")
+    e = F.substring_index(text, "E", -1).try_cast("int")
+    n = F.length(digits)
+    positional = (
+        F.when(e < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits))
+        .when(n > e + 1, F.concat(F.substring(digits, F.lit(1), e + 1), F.lit("."), F.substring(digits, e + 2, n)))
+        .otherwise(F.concat(F.rpad(digits, e + 1, "0"), F.lit(".0"))))
+    exponent = F.concat(
+        F.substring(digits, 1, 1), F.when(n > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), n))).otherwise(""),
+        F.lit("e"), F.when(e < 0, "-").otherwise("+"), F.lpad(F.abs(e).cast("string"), F.greatest(
+            F.length(F.abs(e).cast("string")), F.lit(2)), "0"))
+    return (F.when(F.isnan(c), F.lit("nan")).when(text == "Infinity", F.lit("inf")).when(text == "-Infinity", F.lit("-inf"))
+            .when(F.instr(text, "E") == 0, text)
+            .otherwise(F.concat(sign, F.when((e >= -4) & (e < 16), positional).otherwise(exponent))))
+
+
+def _string_repr(c: Column) -> Column:
+    """Python ``repr`` of a string: single quotes unless it holds them and no double ones."""
+    body = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for raw, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        body = F.replace(body, F.lit(raw), F.lit(shown))
+    double = (F.instr(c, "'") > 0) & (F.instr(c, '"') == 0)
+    return F.when(double, F.concat(F.lit('"'), body, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+
+def _text(c: Column, dt: T.DataType, inside: bool = False) -> Column:
+    """Python ``str`` of a value, or ``repr`` of it ``inside`` a list."""
+    if isinstance(dt, T.ArrayType):
+        parts = F.transform(c, lambda x: _text(x, dt.elementType, True))
+        out = F.concat(F.lit("["), F.array_join(parts, ", "), F.lit("]"))
+    elif isinstance(dt, T.BooleanType):
+        out = F.when(c, F.lit("True")).otherwise(F.lit("False"))
+    elif isinstance(dt, (T.DoubleType, T.FloatType)):
+        out = _float_text(c.cast("double"))
+    elif isinstance(dt, T.StringType) and inside:
+        out = _string_repr(c)
+    else:
+        out = c.cast("string")
+    return F.when(c.isNull(), F.lit("None")).otherwise(out)
 
 
 def py_str(df: DataFrame, name: str) -> Column:
-    """Python ``str()`` of one value as far as the column type allows.
+    """Python ``str()`` of one value.
 
-    NULL prints ``None``, booleans ``True``/``False``, string arrays as a Python
-    list; numbers use Spark's text (identical for integers and for doubles
-    between 1e-3 and 1e7, the range the formatted results hold).
+    NULL prints ``None``, booleans ``True``/``False``, doubles and floats as
+    Python floats, arrays as Python lists with the ``repr`` of their elements.
+    Control characters other than newline, return and tab stay as they are; the
+    very smallest subnormal doubles have the two digits that Java gives them.
     """
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, T.ArrayType):
-        return array_repr(c)
-    if isinstance(dt, T.BooleanType):
-        return F.when(c.isNull(), F.lit("None")).when(c, F.lit("True")).otherwise(F.lit("False"))
-    return F.coalesce(c.cast("string"), F.lit("None"))
+    return _text(F.col(name), df.schema[name].dataType)
 
 
 def csv_line(df: DataFrame, columns: list[str] | None = None, sep: str = ",") -> Column:

@@ -30,10 +30,14 @@ def _as_type(t) -> T.DataType:
 
 
 def read_header_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                    encoding: str = "UTF-8") -> DataFrame:
-    """Header CSV: the header is not a row; quoted values may hold commas."""
+                    encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
+    """Header CSV: the header is not a row; quoted values may hold commas.
+
+    Quoted values that hold a newline need ``multi_line``: a file is then read by
+    one task, as no split can tell whether it begins inside quotes.
+    """
     reader = (spark.read.option("header", True).option("encoding", encoding)
-              .option("quote", '"').option("escape", '"'))
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     if schema is not None:
         reader = reader.schema(schema).option("mode", "FAILFAST")
     df = reader.csv(path)

@@ -69,3 +69,29 @@ def test_first_n_with_id(spark):
     df = spark.createDataFrame([(i,) for i in range(20, 0, -1)], "v int")
     got = [(r["id"], r["v"]) for r in first_n_with_id(df, ["v"], 3).collect()]
     assert got == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_csv_line_matches_python(spark):
+    from quarry.functions.exprs import csv_line
+    floats = [0.0, -0.0, 1.5, 1e-5, 5e-4, 1e10, 1.25e15, 1e16, 1.5e300, -2.5e-7, 123456789.125, 1e7, 9999999.0, 0.001, 1 / 3,
+              float("inf"), float("nan"), 1e22, 1e-300]
+    rows = [([1, None], [1.5, f], ["a", None, "l'eau", 'q"', "b'\"", "c\\d", "e\nf"], f, True, None) for f in floats]
+    rows.append(([], [], [], None, None, "x"))
+    df = spark.createDataFrame(rows, "i array<long>, f array<double>, s array<string>, d double, b boolean, t string")
+    got = [r[0] for r in df.select(csv_line(df)).collect()]
+    assert got == [",".join(map(str, r)) for r in rows]
+
+
+def test_csv_newline_in_quotes(spark, tmp_path):
+    from quarry.sources.text import read_header_csv
+    (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines"\n2,z\n')
+    got = read_header_csv(spark, str(tmp_path / "x.csv"), multi_line=True).collect()
+    assert [tuple(r) for r in got] == [("1", "two\nlines"), ("2", "z")]
+
+
+def test_contiguous_id_of_equal_rows(spark):
+    from quarry.operators.ids import contiguous_id
+    df = spark.createDataFrame([(k % 3, k % 2) for k in range(60)], "k int, v int").repartition(7)
+    got = contiguous_id(df, ["k"], num_partitions=5).collect()
+    assert sorted(r["id"] for r in got) == list(range(60))
+    assert [r["k"] for r in sorted(got, key=lambda r: r["id"])] == sorted(k % 3 for k in range(60))
