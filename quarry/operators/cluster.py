@@ -20,14 +20,12 @@ norm), never by an entity × centroid cross product.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.ids import contiguous_id
 from quarry.operators.split import sample_keys
-from quarry.session import checkpoint_dir
+from quarry.session import forget, saved
 
 SCALE = 10_000      # distances are reported as d2_scaled = 10⁴·d²
 UNIT = 100          # weight of a 1 in hundredths
@@ -71,46 +69,39 @@ def feature_counts(incidence: DataFrame, entities: DataFrame | None = None,
     return dim.join(n, entity_col, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
-# Rows of (long, string) probe pairs: about 150-250 MB as a hashed relation.
-MAX_BROADCAST_PROBE_ROWS = 5_000_000
-
-
 def pair_distance(pairs: DataFrame, incidence: DataFrame, left: str = "left",
                   right: str = "right", entity_col: str = "entity",
-                  feature_col: str = "feature",
-                  max_broadcast_rows: int = MAX_BROADCAST_PROBE_ROWS) -> DataFrame:
+                  feature_col: str = "feature") -> DataFrame:
     """Squared Euclidean distance of the 0/1 vectors of each requested pair:
     ``|A| + |B| − 2·|A ∩ B|``. ``incidence`` holds distinct (entity, feature)
     pairs, as ``incidence_from_baskets`` produces them.
 
     The overlap is found by walking the features of the smaller entity of
     each pair and probing the larger one: work Σ over pairs of min(|A|, |B|),
-    never all pairs of entities that share a feature. The per-entity sizes
-    are computed once; their total (the incidence row count) decides whether
-    the probe side is broadcast (at most ``max_broadcast_rows``) or
-    shuffle-joined on (entity, feature).
+    never all pairs of entities that share a feature. The pair list with its
+    sizes is computed once; a pair and its mirror image are walked once, and a
+    pair of one entity with itself not at all. AQE chooses the joins by size.
     """
     inc = incidence.select(entity_col, feature_col)
-    sizes = _ckpt(inc.groupBy(entity_col).agg(F.count(F.lit(1)).alias("_n")))
-    total = sizes.agg(F.sum("_n")).first()[0] or 0
+    sizes = saved(inc.groupBy(entity_col).agg(F.count(F.lit(1)).alias("_n")), "pair-sizes")
     z = F.lit(0)
     p = (pairs.select(left, right).distinct()
          .join(sizes.select(F.col(entity_col).alias(left), F.col("_n").alias("n_left")), left, "left")
          .join(sizes.select(F.col(entity_col).alias(right), F.col("_n").alias("n_right")), right, "left")
          .withColumn("n_left", F.coalesce("n_left", z))
          .withColumn("n_right", F.coalesce("n_right", z)))
-    swap = F.col("n_left") > F.col("n_right")
-    p = (p.withColumn("_small", F.when(swap, F.col(right)).otherwise(F.col(left)))
-          .withColumn("_big", F.when(swap, F.col(left)).otherwise(F.col(right))))
-    probe = inc.withColumnRenamed(entity_col, "_big")
-    if total <= max_broadcast_rows:
-        probe = F.broadcast(probe)
-    walk = (p.select("_small", "_big").distinct()
+    # the smaller entity first; of equal sizes the smaller key, so mirror images agree
+    swap = ((F.col("n_left") > F.col("n_right"))
+            | ((F.col("n_left") == F.col("n_right")) & (F.col(left) > F.col(right))))
+    p = saved(p.withColumn("_small", F.when(swap, F.col(right)).otherwise(F.col(left)))
+               .withColumn("_big", F.when(swap, F.col(left)).otherwise(F.col(right))), "pairs")
+    walk = (p.where("_small <> _big").select("_small", "_big").distinct()
             .join(inc.withColumnRenamed(entity_col, "_small"), "_small")
-            .join(probe, ["_big", feature_col], "left_semi"))
+            .join(inc.withColumnRenamed(entity_col, "_big"), ["_big", feature_col], "left_semi"))
     overlap = walk.groupBy("_small", "_big").agg(F.count(F.lit(1)).alias("overlap"))
     out = p.join(overlap, ["_small", "_big"], "left")
-    d2 = F.col("n_left") + F.col("n_right") - 2 * F.coalesce("overlap", z)
+    shared = F.when(F.col("_small") == F.col("_big"), F.col("n_left")).otherwise(F.coalesce("overlap", z))
+    d2 = F.col("n_left") + F.col("n_right") - 2 * shared
     return out.select(left, right, d2.cast("long").alias("d2"))
 
 
@@ -122,90 +113,30 @@ def initial_centroids(incidence: DataFrame, entities: DataFrame, k: int, seed: i
     """k sampled entities; returns (clusters(cluster, centroid), weights(cluster, feature, w)).
 
     The k-row sample is computed once and broadcast (bounded by k)."""
-    picked = _ckpt(sample_keys(entities, entity_col, k, seed, "cluster"))
+    picked = saved(sample_keys(entities, entity_col, k, seed, "cluster"), "kmeans-picked")
     clusters = picked.select("cluster", F.col(entity_col).alias("centroid"))
     weights = (incidence.join(F.broadcast(picked), entity_col)
                .select("cluster", feature_col, F.lit(UNIT).cast("long").alias("w")))
     return clusters, weights
 
 
-def _cluster_bits(k: int) -> int:
-    return max(1, (k - 1).bit_length())
-
-
-@dataclass
-class Layout:
-    """The incidence as k-means reads it, computed once for every pass.
-
-    ``incidence`` is checkpointed and stays spread over (entity, feature), so
-    an entity holding a large share of the rows is split over all tasks; every
-    per-entity sum is aggregated map-side first (at most k partial rows per
-    entity and task). Two size checks, made once up front, decide the joins:
-
-    * centroid weights (k × features rows) are broadcast into the incidence
-      when ``weights_broadcast``; otherwise shuffle-joined on the feature
-      (AQE splits a hot feature);
-    * the assignment (one row per entity) is broadcast into the centroid
-      update when ``assignment_broadcast``; otherwise shuffle-joined on the
-      entity (AQE splits a hot entity).
-
-    With both broadcasts no pass shuffles the incidence at all.
-    """
-    incidence: DataFrame
-    weights_broadcast: bool
-    assignment_broadcast: bool
-    entity_col: str = "entity"
-    feature_col: str = "feature"
-
-
-# Size bounds for broadcasting: rows of (int, string, long) and (long, int).
-MAX_BROADCAST_WEIGHT_ROWS = 2_000_000
-MAX_BROADCAST_ENTITY_ROWS = 5_000_000
-
-
-def prepare_incidence(incidence: DataFrame, k: int, entity_col: str = "entity",
-                      feature_col: str = "feature",
-                      max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS,
-                      max_broadcast_entities: int = MAX_BROADCAST_ENTITY_ROWS) -> Layout:
-    inc = _ckpt(incidence.select(entity_col, feature_col).distinct())
-    est = inc.agg(F.approx_count_distinct(feature_col, 0.05).alias("nf"),
-                  F.approx_count_distinct(entity_col, 0.05).alias("ne")).first()
-    # 10% headroom over the 5% relative error of the estimate
-    return Layout(inc,
-                  k * int(est["nf"] * 1.1 + 1) <= max_broadcast_rows,
-                  int(est["ne"] * 1.1 + 1) <= max_broadcast_entities,
-                  entity_col, feature_col)
-
-
-def _as_layout(incidence, k, entity_col, feature_col) -> Layout:
-    if isinstance(incidence, Layout):
-        return incidence
-    # a plain DataFrame: no size known, AQE chooses the joins
-    return Layout(incidence.select(entity_col, feature_col), False, False, entity_col, feature_col)
-
-
-def assign(incidence, counts: DataFrame, clusters: DataFrame, weights: DataFrame,
+def assign(incidence: DataFrame, counts: DataFrame, clusters: DataFrame, weights: DataFrame,
            k: int, entity_col: str = "entity", feature_col: str = "feature") -> DataFrame:
     """Nearest centroid of every entity in ``counts`` → (entity, cluster, d2_scaled).
 
-    ``incidence`` is a DataFrame or a ``Layout``. Ties go to the smaller cluster
-    ordinal (the earlier drawn centroid). The argmin is a plain BIGINT ``min``
-    over ``score·2^b + ordinal`` (b bits hold the k ordinals), so it runs as a
-    hash aggregate with map-side partials.
+    Ties go to the smaller cluster ordinal (the earlier drawn centroid). The
+    argmin is a plain ``min`` over the exact decimal ``score·k + ordinal`` (room
+    for scores of 28 digits), so it runs as a hash aggregate with map-side
+    partials: an entity with a large part of all rows costs k rows per task. The
+    joins' sides are chosen by AQE from the sizes it measures.
     """
-    lay = _as_layout(incidence, k, entity_col, feature_col)
-    bits = _cluster_bits(k)
-    # |score| <= 2·UNIT²·(features of the centroid) <= 2·UNIT²·s2: keep it packable.
-    limit = (1 << 62) // (2 * UNIT * UNIT * (1 << bits))
-    s2 = F.coalesce("s2", F.lit(0)).cast("long")
     norms = (clusters.select("cluster")
              .join(weights.groupBy("cluster").agg(F.sum(F.col("w") * F.col("w")).alias("s2")),
                    "cluster", "left")
-             .select("cluster", F.when(s2 > limit, F.raise_error(F.lit(
-                 "centroid too large for packed argmin"))).otherwise(s2).cast("long").alias("s2")))
+             .select("cluster", F.coalesce("s2", F.lit(0)).cast("long").alias("s2")))
 
     def pack(score, cluster):
-        return score * F.lit(1 << bits) + cluster
+        return (score.cast("decimal(20,0)") * F.lit(k).cast("decimal(10,0)") + cluster).cast("decimal(38,0)")
 
     # Best centroid the entity shares no feature with: its score is the bare
     # norm, so it is the overall smallest (norm, ordinal) - if that centroid
@@ -213,31 +144,26 @@ def assign(incidence, counts: DataFrame, clusters: DataFrame, weights: DataFrame
     # ``best``. One scalar over k rows, no entity × centroid product.
     fallback = norms.agg(F.min(pack(F.col("s2"), F.col("cluster")))).scalar()
 
-    w = weights.select(feature_col, "cluster", "w")
-    joined = lay.incidence.join(F.broadcast(w) if lay.weights_broadcast else w, feature_col)
+    joined = incidence.join(weights.select(feature_col, "cluster", "w"), feature_col)
     dots = joined.groupBy(entity_col, "cluster").agg(F.sum("w").alias("dot"))
     scored = dots.join(F.broadcast(norms), "cluster").select(
         entity_col, pack(F.col("s2") - 2 * UNIT * F.col("dot"), F.col("cluster")).alias("p"))
     best = scored.groupBy(entity_col).agg(F.min("p").alias("best"))
-    choice = F.least(F.col("best"), fallback)
-    e = counts.join(best, entity_col, "left").withColumn("_choice", choice)
-    return e.select(entity_col,
-                    F.col("_choice").bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias("cluster"),
-                    (F.col("n") * SCALE + F.shiftright("_choice", bits)).cast("long")
-                    .alias("d2_scaled"))
+    e = counts.join(best, entity_col, "left").withColumn("_choice", F.least(F.col("best"), fallback))
+    e = e.withColumn("cluster", F.pmod("_choice", F.lit(k).cast("decimal(10,0)")))
+    score = F.expr(f"(_choice - cluster) div {k}")
+    return e.select(entity_col, F.col("cluster").cast("int").alias("cluster"),
+                    (F.col("n") * SCALE + score).cast("long").alias("d2_scaled"))
 
 
-def update_centroids(incidence, assignment: DataFrame, weights: DataFrame,
+def update_centroids(incidence: DataFrame, assignment: DataFrame, weights: DataFrame,
                      entity_col: str = "entity", feature_col: str = "feature") -> DataFrame:
     """Per (cluster, feature): share of members with the feature, rounded half
     up to 2 decimals, as hundredths. A cluster left without members keeps its
-    previous weights. ``incidence`` is a DataFrame or a ``Layout``."""
-    lay = _as_layout(incidence, 0, entity_col, feature_col)
+    previous weights."""
     sizes = assignment.groupBy("cluster").agg(F.count(F.lit(1)).alias("c"))
     members = assignment.select(entity_col, "cluster")
-    if lay.assignment_broadcast:
-        members = F.broadcast(members)
-    have = (lay.incidence.join(members, entity_col)
+    have = (incidence.join(members, entity_col)
             .groupBy("cluster", feature_col).agg(F.count(F.lit(1)).alias("s")))
     w = F.expr(f"({2 * UNIT} * s + c) div (2 * c)")
     new = (have.join(F.broadcast(sizes), "cluster")
@@ -246,26 +172,18 @@ def update_centroids(incidence, assignment: DataFrame, weights: DataFrame,
     return new.unionByName(kept)
 
 
-def _ckpt(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def first_assignment(incidence: DataFrame, k: int, seed: int,
                      entities: DataFrame | None = None, entity_col: str = "entity",
-                     feature_col: str = "feature",
-                     max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS,
-                     max_broadcast_entities: int = MAX_BROADCAST_ENTITY_ROWS):
-    """Start of Lloyd's algorithm: (layout, counts, clusters, weights,
-    assignment). The incidence, the per-entity counts, the k sampled
-    centroids and their weights are computed once."""
-    lay = prepare_incidence(incidence, k, entity_col, feature_col, max_broadcast_rows,
-                            max_broadcast_entities)
-    counts = _ckpt(feature_counts(lay.incidence, entities, entity_col))
-    clusters, weights = initial_centroids(lay.incidence, counts, k, seed, entity_col, feature_col)
-    weights = _ckpt(weights)
-    a = assign(lay, counts, clusters, weights, k, entity_col, feature_col)
-    return lay, counts, clusters, weights, a
+                     feature_col: str = "feature"):
+    """Start of Lloyd's algorithm: (incidence, counts, clusters, weights,
+    assignment), each computed once. The incidence stays spread over (entity,
+    feature), so an entity with a large part of the rows is split over tasks."""
+    inc = saved(incidence.select(entity_col, feature_col).distinct(), "kmeans-incidence")
+    counts = saved(feature_counts(inc, entities, entity_col), "kmeans-counts")
+    clusters, weights = initial_centroids(inc, counts, k, seed, entity_col, feature_col)
+    weights = saved(weights, "kmeans-weights")
+    a = saved(assign(inc, counts, clusters, weights, k, entity_col, feature_col), "kmeans-assignment")
+    return inc, counts, clusters, weights, a
 
 
 def nearest_centroid(incidence: DataFrame, k: int, seed: int,
@@ -286,30 +204,37 @@ def cluster_members(assignment: DataFrame, entity_col: str = "entity",
     return contiguous_id(assignment, [entity_col], rank_col, group_cols=["cluster"])
 
 
-def kmeans(incidence: DataFrame, k: int, seed: int, max_iter: int = 20,
+def kmeans(incidence: DataFrame, k: int, seed: int, max_iter: int | None = None,
            entities: DataFrame | None = None, entity_col: str = "entity",
-           feature_col: str = "feature", return_weights: bool = False,
-           max_broadcast_rows: int = MAX_BROADCAST_WEIGHT_ROWS,
-           max_broadcast_entities: int = MAX_BROADCAST_ENTITY_ROWS):
-    """Lloyd's k-means from k sampled entities until no entity changes cluster
-    or ``max_iter`` centroid updates. Each pass is checkpointed to the shared
-    checkpoint folder (lineage stays one pass long; a lost executor recomputes
-    at most one pass). Returns (entity, cluster, d2_scaled)."""
-    inc, counts, clusters, weights, a = first_assignment(incidence, k, seed, entities,
-                                                         entity_col, feature_col,
-                                                         max_broadcast_rows,
-                                                         max_broadcast_entities)
-    current = _ckpt(a)
-    for _ in range(max_iter):
-        weights = _ckpt(update_centroids(inc, current, weights, entity_col, feature_col))
-        # the moved flag is computed in the same job as the new assignment
+           feature_col: str = "feature", return_weights: bool = False):
+    """Lloyd's k-means from k sampled entities until no entity changes cluster.
+
+    Returns (entity, cluster, d2_scaled, converged). ``converged`` is true for
+    every row, unless the caller's ``max_iter`` centroid updates were used up
+    first, or the rounded centroids came back to an assignment they had before
+    without standing still (then no further pass can change that). Each pass
+    is written to the shared folder, and the pass before it is deleted.
+    """
+    inc, counts, clusters, weights, current = first_assignment(
+        incidence, k, seed, entities, entity_col, feature_col)
+
+    def signature(a):
+        pair = F.xxhash64(entity_col, "cluster")
+        return tuple(a.agg(F.bit_xor(pair), F.sum(pair.cast("decimal(38,0)"))).first())
+
+    seen, converged, passes = {signature(current)}, False, 0
+    while not converged and (max_iter is None or passes < max_iter):
+        passes += 1
+        new_weights = saved(update_centroids(inc, current, weights, entity_col, feature_col), "kmeans-weights")
         prev = current.select(entity_col, F.col("cluster").alias("_prev"))
-        nxt = _ckpt(assign(inc, counts, clusters, weights, k, entity_col, feature_col)
-                    .join(prev, entity_col, "left")
-                    .withColumn("_moved", ~F.col("cluster").eqNullSafe(F.col("_prev")))
-                    .drop("_prev"))
-        moved = nxt.where("_moved").limit(1).count()
-        current = nxt.drop("_moved")
-        if moved == 0:
+        nxt = saved(assign(inc, counts, clusters, new_weights, k, entity_col, feature_col), "kmeans-assignment")
+        converged = nxt.join(prev, entity_col).where("cluster <> _prev").isEmpty()
+        forget(current, weights)
+        current, weights = nxt, new_weights
+        now = signature(current)
+        if not converged and now in seen:
             break
-    return (current, weights) if return_weights else current
+        seen.add(now)
+    forget(inc, counts)
+    out = current.withColumn("converged", F.lit(converged))
+    return (out, weights) if return_weights else out

@@ -1,11 +1,12 @@
 """Contiguous 0-based ids (the reference's "line number − 1"), distributed.
 
 No single-partition window: rows are range-partitioned on the order key (with a
-tie-breaker so that one hot key value still spreads over partitions), sorted
-inside each partition, numbered locally with ``monotonically_increasing_id``
+hash of the row's values, so that one hot key value still spreads over
+partitions and a retried task deals its rows out as before), sorted inside each
+partition, numbered locally with ``monotonically_increasing_id``
 (partition index in the upper bits, position in the lower 33 bits), and shifted
-by the prefix sum of the partition sizes. The numbered table is checkpointed
-to the shared checkpoint folder, so both passes see the same layout and a lost
+by the prefix sum of the partition sizes. The numbered table is written
+to the shared folder, so both passes see the same layout and a lost
 executor cannot move rows between partitions.
 """
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import checkpoint_dir, default_parallelism
+from quarry.session import default_parallelism, saved
 
 _LOW33 = (1 << 33) - 1
 
@@ -28,16 +29,15 @@ def contiguous_id(df: DataFrame, order_cols: list[str], id_col: str = "id",
     inside its group), still without gathering a group into one task.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     groups = list(group_cols or [])
     n = num_partitions or default_parallelism(spark)
     keys = groups + list(order_cols)
     tie = "_qid_tie"
-    ranged = (df.withColumn(tie, F.monotonically_increasing_id())
-              .repartitionByRange(n, *keys, tie)
-              .sortWithinPartitions(*keys, tie)
-              .withColumn("_qid_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    # equal rows share the hash, and so a partition: they are interchangeable
+    ranged = saved(df.withColumn(tie, F.xxhash64(*df.columns))
+                   .repartitionByRange(n, *keys, tie)
+                   .sortWithinPartitions(*keys, tie)
+                   .withColumn("_qid_mid", F.monotonically_increasing_id()), "contiguous-id")
     pid = F.shiftright("_qid_mid", 33)
     local = F.col("_qid_mid").bitwiseAND(F.lit(_LOW33))
     ranged = ranged.withColumn("_qid_pid", pid).withColumn("_qid_loc", local)

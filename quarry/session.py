@@ -16,6 +16,8 @@ _SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoints of tables that nothing refers to any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -27,13 +29,12 @@ _MB = 1 << 20
 def recommended_conf(input_bytes: int, cores: int) -> dict:
     """Partition sizing from the input size and the cluster's task slots.
 
-    * shuffle partitions: about one per 512 MB of input, at least two waves of
-      tasks and at most 50,000 (AQE coalesces small ones; beyond ~50k the map
-      side's per-partition bookkeeping dominates, so partitions grow instead);
+    * shuffle partitions: one per 256 MB of input, at least two waves of tasks
+      (AQE coalesces small ones);
     * file splits: 128 MB, 256 MB above 1 TB of input (fewer, longer scan tasks);
     * AQE target partition size 256 MB, skew threshold 512 MB.
     """
-    parts = max(2 * cores, min(50_000, input_bytes // (512 * _MB)))
+    parts = max(2 * cores, input_bytes // (256 * _MB))
     split = 256 * _MB if input_bytes > (1 << 40) else 128 * _MB
     return {
         "spark.sql.shuffle.partitions": str(int(parts)),
@@ -101,16 +102,29 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def saved(df, name: str):
+    """``df`` computed once, written as Parquet under the shared folder and read back.
 
+    Unlike a checkpoint it is columnar (later reads prune columns) and can be
+    dropped with :func:`forget` as soon as nothing reads it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-def core_count(spark: SparkSession) -> int:
-    """Task slots of the cluster (falls back to the shuffle partition count)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:
-        return default_parallelism(spark)
+
+def forget(*tables) -> None:
+    """Delete the files behind tables made by :func:`saved` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def env_int(name: str, default: int) -> int:

@@ -45,11 +45,9 @@ def test_pair_distance_brute_force(spark):
     ents = sorted(vec)
     asked = [(a, b) for a in ents[:6] for b in ents] + [("empty", "e00"), ("solo", "dup1")]
     df = spark.createDataFrame(asked, "a string, b string")
-    for bound in (M.MAX_BROADCAST_PROBE_ROWS, 0):  # broadcast probe / shuffled semi join
-        res = M.pair_distance(df, inc_df(spark, pairs), "a", "b", max_broadcast_rows=bound)
-        got = {(r.a, r.b): r.d2 for r in res.collect()}
-        for a, b in asked:
-            assert got[(a, b)] == len(vec[a] ^ vec[b])
+    got = {(r.a, r.b): r.d2 for r in M.pair_distance(df, inc_df(spark, pairs), "a", "b").collect()}
+    for a, b in asked:
+        assert got[(a, b)] == len(vec[a] ^ vec[b])
     assert got[("e00", "e00")] == 0
 
 
@@ -96,12 +94,11 @@ def test_kmeans_matches_brute_force_and_partitioning(spark):
     pairs = random_incidence(7)
     entities = sorted({e for e, _ in pairs} | {"nofeat"})
     dim = spark.createDataFrame([(e,) for e in entities], "entity string")
-    want = brute_kmeans(pairs, entities, 4, 11, 6)
-    # 1 or 7 input partitions; weights broadcast or shuffle-joined (size check)
-    for parts, bcast in ((1, M.MAX_BROADCAST_WEIGHT_ROWS), (7, 0)):
+    want = brute_kmeans(pairs, entities, 4, 11, 1000)
+    for parts in (1, 7):
         inc = inc_df(spark, pairs).repartition(parts)
-        res = M.kmeans(inc, 4, 11, max_iter=6, entities=dim, max_broadcast_rows=bcast,
-                       max_broadcast_entities=bcast)
+        res = M.kmeans(inc, 4, 11, entities=dim)
+        assert all(r.converged for r in res.collect())
         got = {r.entity: (r.cluster, Fraction(r.d2_scaled, M.SCALE)) for r in res.collect()}
         assert got == want
 
@@ -117,3 +114,32 @@ def test_first_assignment_and_members(spark):
     for r in members:
         same = sorted(e for e, (c, _) in want.items() if c == r.cluster)
         assert same[r.member_rank] == r.entity
+
+
+def test_kmeans_limit_shows_and_old_passes_are_deleted(spark):
+    import os
+
+    from quarry.session import checkpoint_dir
+    pairs = random_incidence(7)
+    folder = os.path.join(checkpoint_dir(spark).removeprefix("file:"), "quarry-tables")
+
+    def folders():
+        return {f for f in (os.listdir(folder) if os.path.isdir(folder) else []) if f.startswith("kmeans-")}
+
+    before = folders()
+    out = M.kmeans(inc_df(spark, pairs), 4, 11, max_iter=1)
+    assert not any(r.converged for r in out.collect())
+    full = M.kmeans(inc_df(spark, pairs), 4, 11)
+    assert all(r.converged for r in full.collect())
+    # per run: the last assignment, the last weights and the sampled centroids
+    assert len(folders() - before) <= 6
+
+
+def test_argmin_has_no_size_cap(spark):
+    """Centroids with norms far beyond what a packed 64-bit value could hold."""
+    weights = spark.createDataFrame([(0, "a", 2_000_000_000), (1, "a", 1_999_999_999)], "cluster int, feature string, w long")
+    counts = spark.createDataFrame([("x", 1), ("y", 1)], "entity string, n long")
+    clusters = spark.createDataFrame([(0, "p"), (1, "q")], "cluster int, centroid string")
+    inc = inc_df(spark, [("x", "a"), ("y", "b")])
+    got = {r.entity: r.cluster for r in M.assign(inc, counts, clusters, weights.limit(2), 2).collect()}
+    assert got == {"x": 1, "y": 1}

@@ -66,7 +66,7 @@ def test_kmeans_hot_entity_and_hot_feature(spark):
     pairs += [(f"e{i}", "f0") for i in range(40)]
     pairs = sorted(set(pairs))
     inc = spark.createDataFrame(pairs, "entity string, feature string").repartition(4)
-    a = M.kmeans(inc, 3, 5, max_iter=4, max_broadcast_rows=0, max_broadcast_entities=0)
+    a = M.kmeans(inc, 3, 5, max_iter=4)
     b = M.kmeans(inc.repartition(9), 3, 5, max_iter=4)
     ra = sorted(map(tuple, a.collect()))
     assert ra == sorted(map(tuple, b.collect()))
