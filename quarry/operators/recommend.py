@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.exprs import rmse_expr
 from quarry.operators.ids import dense_index
-from quarry.session import core_count
+from quarry.session import saved
 
 
 def global_mean(train: DataFrame, rating: str = "rating", out: str = "global_mean") -> DataFrame:
@@ -33,10 +33,17 @@ def with_bias_terms(df: DataFrame, train: DataFrame, user: str, item: str,
     Inner joins: rows whose user or item has no training rating are dropped,
     as in the reference.
     """
-    um = group_means(train, user, rating, "user_mean")
-    im = group_means(train, item, rating, "item_mean")
-    gm = train.agg(F.avg(F.col(rating))).scalar()
-    return df.join(im, item).join(um, user).withColumn("global_mean", gm)
+    return _join_means(df, _means(train, user, item, rating), user, item)
+
+
+def _means(train: DataFrame, user: str, item: str, rating: str):
+    return (group_means(train, user, rating, "user_mean"), group_means(train, item, rating, "item_mean"),
+            train.agg(F.avg(F.col(rating)).alias("global_mean")))
+
+
+def _join_means(df: DataFrame, means, user: str, item: str) -> DataFrame:
+    um, im, gm = means
+    return df.join(im, item).join(um, user).withColumn("global_mean", gm.scalar())
 
 
 def bias_interaction(train: DataFrame, user: str = "userId", item: str = "itemId",
@@ -45,7 +52,11 @@ def bias_interaction(train: DataFrame, user: str = "userId", item: str = "itemId
     """Per training triple: user_mean, item_mean and the interaction
     ``rating − (user_mean + item_mean − global_mean)``; ordered by (user, item),
     the first ``n`` rows if ``n`` is given."""
-    t = with_bias_terms(train, train, user, item, rating)
+    return _interaction(with_bias_terms(train, train, user, item, rating), user, item, rating, n, ordered)
+
+
+def _interaction(t: DataFrame, user: str, item: str, rating: str, n: int | None = None,
+                 ordered: bool = True) -> DataFrame:
     inter = F.col(rating) - (F.col("user_mean") + F.col("item_mean") - F.col("global_mean"))
     out = t.select(user, item, F.col(rating).cast("double").alias(rating), "user_mean",
                    "item_mean", inter.alias("user_item_interaction"))
@@ -82,19 +93,15 @@ def bias_rmse(train: DataFrame, test: DataFrame, user: str = "userId", item: str
 ALS_DEFAULTS = {"maxIter": 5, "rank": 70, "regParam": 0.01}
 
 
-# Upper bound of ALS user/item blocks: more blocks add parallelism but also
-# factor traffic between blocks.
-MAX_ALS_BLOCKS = 4096
+# Blocks of user and item factors. Spark draws the first factors block by block,
+# so the model depends on this number and never on the cluster; pass
+# ``numUserBlocks`` / ``numItemBlocks`` for more parallelism.
+ALS_BLOCKS = 10
 
 
-def _als(user: str, item: str, rating_col: str, seed: int, spark=None, **params):
+def _als(user: str, item: str, rating_col: str, seed: int, **params):
     from pyspark.ml.recommendation import ALS
-    p = dict(ALS_DEFAULTS)
-    if spark is not None:
-        # one block per core (Spark's default of 10 leaves a large cluster idle)
-        blocks = max(1, min(core_count(spark), MAX_ALS_BLOCKS))
-        p.update(numUserBlocks=blocks, numItemBlocks=blocks)
-    p.update(params)
+    p = {**ALS_DEFAULTS, "numUserBlocks": ALS_BLOCKS, "numItemBlocks": ALS_BLOCKS, **params}
     return ALS(userCol=user, itemCol=item, ratingCol=rating_col, coldStartStrategy="drop",
                seed=seed, **p)
 
@@ -124,7 +131,7 @@ def als_predictions(train: DataFrame, test: DataFrame, user: str = "userId",
                     **params) -> DataFrame:
     """Test rows scored by ALS fitted on ``train``; unseen users/items dropped."""
     tr, te, u, i = _as_int_ids(train, test, user, item)
-    model = _als(u, i, rating, seed, train.sparkSession, **params).fit(tr)
+    model = _als(u, i, rating, seed, **params).fit(tr)
     out = model.transform(te)
     return out.withColumn("prediction", F.col("prediction").cast("double"))
 
@@ -140,10 +147,12 @@ def als_bias_predictions(train: DataFrame, test: DataFrame, user: str = "userId"
                          **params) -> DataFrame:
     """ALS fitted on the user-item interaction; prediction rebuilt as
     ``ALS(i) + user_mean + item_mean − global_mean``."""
-    inter = bias_interaction(train, user, item, rating, ordered=False)
-    test_b = with_bias_terms(test, train, user, item, rating)
+    # the means are computed once, for the fit and for the scoring
+    means = [saved(m, "als-means") for m in _means(train, user, item, rating)]
+    inter = _interaction(_join_means(train, means, user, item), user, item, rating, ordered=False)
+    test_b = _join_means(test, means, user, item)
     inter, test_b, u, i = _as_int_ids(inter, test_b, user, item)
-    model = _als(u, i, "user_item_interaction", seed, train.sparkSession, **params).fit(inter)
+    model = _als(u, i, "user_item_interaction", seed, **params).fit(inter)
     scored = model.transform(test_b)
     rebuilt = (F.col("prediction").cast("double") + F.col("user_mean") + F.col("item_mean")
                - F.col("global_mean"))
@@ -155,3 +164,48 @@ def als_bias_rmse(train: DataFrame, test: DataFrame, user: str = "userId",
                   **params) -> DataFrame:
     return rmse(als_bias_predictions(train, test, user, item, rating, seed, **params),
                 "prediction", rating)
+
+
+def als_solved(train: DataFrame, user: str = "userId", item: str = "itemId", rating: str = "rating",
+               seed: int = 123, tolerance: float = 1e-3, **params) -> DataFrame:
+    """``(user, solved)``: whether the fitted user factors solve their equations.
+
+    ALS ends with the users' step, so each user's factors x minimise
+    ``Σ (x·y − r)² + λ·n·|x|²`` over the user's n ratings with the fitted item
+    factors y: the gradient ``Σ (x·y − r)·y + λ·n·x`` is 0 up to the factors'
+    single precision. The check is relative to ``Σ |r|·|y|``.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    tr, _, u, i = _as_int_ids(train, train.limit(0), user, item)
+    tr = saved(tr.select(user, u, i, rating) if u != user else tr.select(u, i, rating), "als-train")
+    als = _als(u, i, rating, seed, **params)
+    model = als.fit(tr)
+
+    def doubles(c):
+        return F.col(c).cast("array<double>")
+
+    x = model.userFactors.select(F.col("id").alias(u), doubles("features").alias("x"))
+    y = model.itemFactors.select(F.col("id").alias(i), doubles("features").alias("y"))
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+
+    r = F.col(rating).cast("double")
+    error = dot(F.col("x"), F.col("y")) - r
+    rows = tr.join(x, u).join(y, i).select(
+        user, "x", array_to_vector(F.transform("y", lambda v: v * error)).alias("g"),
+        (F.abs(r) * F.sqrt(dot(F.col("y"), F.col("y")))).alias("size"))
+    sums = rows.groupBy(user).agg(F.first("x").alias("x"), F.count("*").alias("n"),
+                                  F.sum("size").alias("size"), Summarizer.sum(F.col("g")).alias("g"))
+    gradient = F.zip_with(vector_to_array("g"), F.col("x"), lambda g, v: g + v * (F.col("n") * als.getRegParam()))
+    worst = F.aggregate(gradient, F.lit(0.0), lambda s, v: F.greatest(s, F.abs(v)))
+    return sums.select(user, (worst <= tolerance * (F.col("size") + 1)).alias("solved"))
+
+
+def als_bias_solved(train: DataFrame, user: str = "userId", item: str = "itemId", rating: str = "rating",
+                    seed: int = 123, **params) -> DataFrame:
+    """:func:`als_solved` for the fit on the user-item interaction."""
+    inter = bias_interaction(train, user, item, rating, ordered=False)
+    return als_solved(inter, user, item, "user_item_interaction", seed, **params)

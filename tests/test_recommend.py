@@ -59,6 +59,21 @@ def test_als_runs_and_drops_cold_start(spark):
     assert math.isfinite(R.als_bias_rmse(train, test, seed=1, rank=2, maxIter=3).first()["rmse"])
 
 
+def test_als_solves_its_equations(spark):
+    train, _ = frames(spark)
+    got = {r.userId: r.solved for r in R.als_solved(train, seed=1, rank=2, maxIter=3).collect()}
+    assert got == {0: True, 1: True, 2: True}
+    wrong = R.als_solved(train, seed=1, rank=2, maxIter=3, tolerance=1e-12).collect()
+    assert not all(r.solved for r in wrong)  # the check can fail
+    assert all(r.solved for r in R.als_bias_solved(train, seed=1, rank=2, maxIter=3).collect())
+
+
+def test_means_of_ids_beyond_int(spark):
+    train = spark.createDataFrame([(3_000_000_005, 1, 4), (3_000_000_005, 2, 2)], "userId long, itemId long, rating int")
+    assert R.global_mean(train).first()[0] == 3.0
+    assert R.group_means(train, "userId").first()["userId"] == 3_000_000_005
+
+
 def test_als_indexes_long_and_string_ids(spark):
     big = [(3_000_000_000 + u, f"item-{i}", r) for u, i, r in TRAIN]
     big_test = [(3_000_000_000 + u, f"item-{i}", r) for u, i, r in TEST]
