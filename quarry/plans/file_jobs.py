@@ -29,8 +29,9 @@ from quarry.operators import cluster as M
 from quarry.operators import itemsets as FI
 from quarry.operators import recommend as R
 from quarry.operators import tabular
-from quarry.operators.ids import contiguous_id
+from quarry.operators.ids import contiguous_id, first_n_with_id
 from quarry.operators.split import hash_split, random_split, sample_keys
+from quarry.session import saved
 from quarry.sources.dimensions import entity_dimension
 
 
@@ -68,7 +69,7 @@ def csv_intersection(spark: SparkSession, path1: str, path2: str, column: str) -
 
 # --------------------------------------------------------------- ratings ---
 
-RATING_FIELDS = [("userId", "int"), ("movieId", "int"), ("rating", "int"), ("timestamp", "bigint")]
+RATING_FIELDS = [("userId", "bigint"), ("movieId", "bigint"), ("rating", "int"), ("timestamp", "bigint")]
 
 
 def read_ratings(spark: SparkSession, path: str, mode: str = "fail") -> DataFrame:
@@ -85,28 +86,33 @@ def ratings_split(ratings: DataFrame, seed: int, method: str = "hash"):
     return hash_split(r, ["userId", "movieId"], seed, 80)
 
 
+def _split_once(spark, path, seed, method):
+    """The split of ratings that several branches of a plan read: the file is parsed once."""
+    return ratings_split(saved(read_ratings(spark, path), "ratings"), seed, method)
+
+
 def ratings_global_mean(spark, path, seed, method="hash"):
     train, _ = ratings_split(read_ratings(spark, path), seed, method)
     return R.global_mean(train)
 
 
 def ratings_global_mean_rmse(spark, path, seed, method="hash"):
-    train, test = ratings_split(read_ratings(spark, path), seed, method)
+    train, test = _split_once(spark, path, seed, method)
     return R.global_mean_rmse(train, test)
 
 
 def ratings_interaction(spark, path, seed, n=None, method="hash"):
-    train, _ = ratings_split(read_ratings(spark, path), seed, method)
+    train, _ = _split_once(spark, path, seed, method)
     return R.bias_interaction(train, "userId", "movieId", "rating", n=n)
 
 
 def ratings_als_rmse(spark, path, seed, method="hash", **als_params):
-    train, test = ratings_split(read_ratings(spark, path), seed, method)
+    train, test = _split_once(spark, path, seed, method)
     return R.als_rmse(train, test, "userId", "movieId", "rating", seed, **als_params)
 
 
 def ratings_als_bias_rmse(spark, path, seed, method="hash", **als_params):
-    train, test = ratings_split(read_ratings(spark, path), seed, method)
+    train, test = _split_once(spark, path, seed, method)
     return R.als_bias_rmse(train, test, "userId", "movieId", "rating", seed, **als_params)
 
 
@@ -120,8 +126,10 @@ def read_basket_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def basket_file_table(spark, path, n=None):
-    t = read_basket_file(spark, path)
-    return t.where(F.col("id") < n).orderBy("id") if n is not None else t.orderBy("id")
+    if n is None:
+        return read_basket_file(spark, path).orderBy("id")
+    b = S.read_ragged_baskets(spark, path, key_col="plant", items_col="items", keep_line_order=True)
+    return first_n_with_id(b, S.text.LINE_ORDER, n).select(F.col("id").cast("long"), "plant", "items").orderBy("id")
 
 
 def _model(spark, path, s, c):
@@ -168,7 +176,8 @@ def basket_file_first_iter(spark, path, k, seed, entities=None):
     return M.cluster_members(a)
 
 
-def basket_file_kmeans(spark, path, k, seed, max_iter=20, entities=None):
+def basket_file_kmeans(spark, path, k, seed, max_iter=None, entities=None):
+    """Cluster members of the converged k-means; a caller's ``max_iter`` shows in ``converged``."""
     dim = entity_dimension(spark, entities).select("entity")
     a = M.kmeans(basket_file_incidence(spark, path, entities), k, seed, max_iter, entities=dim)
     return M.cluster_members(a)

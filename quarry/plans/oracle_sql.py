@@ -8,7 +8,11 @@ from __future__ import annotations
 
 
 def itemsets_cte(basket: str = "basket", support: float = 0.1, max_size: int = 6) -> str:
-    """CTEs ``nb`` (basket count) and ``fi`` (frequent itemsets as sorted lists)."""
+    """CTEs ``nb`` (basket count) and ``fi`` (frequent itemsets as sorted lists).
+
+    ``max_size`` must be no less than the largest basket: 6 part types, and an
+    order has at most 7 lines.
+    """
     parts = [f"nb AS (SELECT count(DISTINCT b) AS n FROM {basket})",
              "mc AS (SELECT ceil(CAST(" + repr(float(support)) + " AS DOUBLE) * n) AS m FROM nb)"]
     levels = []

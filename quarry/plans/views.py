@@ -10,7 +10,9 @@ as DuckDB SQL (what the oracle runs); the two must stay identical in meaning.
 * ``basket``   - (b, i): distinct order × part type (market baskets);
 * ``inc``      - (entity, feature): nation × part bought there;
 * ``inc2``     - (entity, feature): customer × part brand;
-* ``parts97``/``parts98`` - parts shipped in January 1997 / January 1998.
+* ``parts97``/``parts98`` - parts shipped in 1997 / 1998, as text that may be empty;
+* ``seen_train``/``unseen_test`` - the split with every tenth user and item kept from training;
+* ``brands`` - (b, i): distinct order × part brand.
 """
 
 from __future__ import annotations
@@ -38,8 +40,8 @@ def ratings(spark: SparkSession, d: str) -> DataFrame:
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return (j.groupBy("o_custkey", "l_suppkey")
             .agg(((F.sum(F.col("l_quantity").cast("int")) % 5) + 1).cast("int").alias("rating"))
-            .select(F.col("o_custkey").cast("int").alias("userId"),
-                    F.col("l_suppkey").cast("int").alias("itemId"), "rating"))
+            .select(F.col("o_custkey").cast("long").alias("userId"),
+                    F.col("l_suppkey").cast("long").alias("itemId"), "rating"))
 
 
 def train_test(spark: SparkSession, d: str, reuse: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -77,17 +79,32 @@ def inc2(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parts_shipped(spark: SparkSession, d: str, year: int) -> DataFrame:
+    """(name): the part of every line shipped in a year, as text; empty for every seventh part."""
     li = load_table(spark, d, "lineitem").select("l_partkey", "l_shipdate")
-    lo, hi = f"{year}-01-01", f"{year}-02-01"
+    lo, hi = f"{year}-01-01", f"{year + 1}-01-01"
+    name = F.when(F.col("l_partkey") % 7 == 0, F.lit("")).otherwise(F.col("l_partkey").cast("string"))
     return li.where((F.col("l_shipdate") >= F.lit(lo).cast("timestamp_ntz"))
-                    & (F.col("l_shipdate") < F.lit(hi).cast("timestamp_ntz"))).select("l_partkey")
+                    & (F.col("l_shipdate") < F.lit(hi).cast("timestamp_ntz"))).select(name.alias("name"))
+
+
+def unseen_split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The split of ``train_test`` with every tenth user and item moved to the test side whole."""
+    train, test = train_test(spark, d, reuse=True)
+    held = (F.col("userId") % 10 == 0) | (F.col("itemId") % 10 == 0)
+    return train.where(~held), test.unionByName(train.where(held))
+
+
+def some_nations(spark: SparkSession, d: str) -> DataFrame:
+    """(entity): the nations of the dimension, those of region 0 left out."""
+    n = load_table(spark, d, "nation").where("n_regionkey <> 0")
+    return n.select(F.col("n_nationkey").cast("long").alias("entity"))
 
 
 # DuckDB forms of the same views, used as CTEs by the oracle SQL.
 SQL = {
     "docs": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE source END AS source FROM documents",
     "ratings": (
-        "SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_suppkey AS INTEGER) AS itemId, "
+        "SELECT CAST(o_custkey AS BIGINT) AS userId, CAST(l_suppkey AS BIGINT) AS itemId, "
         "CAST((SUM(CAST(trunc(l_quantity) AS INTEGER)) % 5) + 1 AS INTEGER) AS rating "
         "FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_suppkey"),
     "train": (
@@ -102,14 +119,17 @@ SQL = {
             "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"),
     "inc2": ("SELECT DISTINCT CAST(o_custkey AS BIGINT) AS entity, p_brand AS feature "
              "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"),
-    "parts97": ("SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01' "
-                "AND l_shipdate < TIMESTAMP '1997-02-01'"),
-    "parts98": ("SELECT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' "
-                "AND l_shipdate < TIMESTAMP '1998-02-01'"),
+    **{f"parts{y % 100}": (
+        "SELECT CASE WHEN l_partkey % 7 = 0 THEN '' ELSE CAST(l_partkey AS VARCHAR) END AS name FROM lineitem "
+        f"WHERE l_shipdate >= TIMESTAMP '{y}-01-01' AND l_shipdate < TIMESTAMP '{y + 1}-01-01'") for y in (1997, 1998)},
+    "seen_train": "SELECT * FROM train WHERE userId % 10 <> 0 AND itemId % 10 <> 0",
+    "unseen_test": ("SELECT * FROM test UNION ALL SELECT * FROM train WHERE userId % 10 = 0 OR itemId % 10 = 0"),
+    "brands": "SELECT DISTINCT l_orderkey AS b, p_brand AS i FROM lineitem JOIN part ON l_partkey = p_partkey",
 }
 
 # Views each one depends on, in definition order.
-_DEPS = {"train": ["ratings"], "test": ["ratings"]}
+_DEPS = {"train": ["ratings"], "test": ["ratings"], "seen_train": ["ratings", "train"],
+         "unseen_test": ["ratings", "train", "test"]}
 
 
 def with_views(body: str, *names: str) -> str:
@@ -138,8 +158,8 @@ def rating_records(spark: SparkSession, d: str) -> DataFrame:
     return (j.groupBy("o_custkey", "l_suppkey")
             .agg(((F.sum(F.col("l_quantity").cast("int")) % 5) + 1).cast("int").alias("rating"),
                  (day.cast("long") * 86400).alias("timestamp"))
-            .select(F.col("o_custkey").cast("int").alias("userId"),
-                    F.col("l_suppkey").cast("int").alias("itemId"), "rating", "timestamp"))
+            .select(F.col("o_custkey").cast("long").alias("userId"),
+                    F.col("l_suppkey").cast("long").alias("itemId"), "rating", "timestamp"))
 
 
 def nation_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -165,7 +185,7 @@ def supplier_part_probes(spark: SparkSession, d: str) -> DataFrame:
 
 SQL.update({
     "rating_records": (
-        "SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_suppkey AS INTEGER) AS itemId, "
+        "SELECT CAST(o_custkey AS BIGINT) AS userId, CAST(l_suppkey AS BIGINT) AS itemId, "
         "CAST((SUM(CAST(trunc(l_quantity) AS INTEGER)) % 5) + 1 AS INTEGER) AS rating, "
         "CAST(datediff('day', DATE '1970-01-01', CAST(max(o_orderdate) AS DATE)) AS BIGINT) * 86400 "
         "AS timestamp FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
