@@ -7,23 +7,6 @@ retried task leaves either a whole committed file or none.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from quarry.session import forget, saved
 
-from quarry.session import scratch_path
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once, written to the shared folder and read back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(*tables: DataFrame) -> None:
-    """Delete the files behind tables made by :func:`saved` that nothing reads any more."""
-    for df in tables:
-        spark = df.sparkSession
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+__all__ = ["forget", "saved"]
