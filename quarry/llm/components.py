@@ -14,6 +14,10 @@ def _signature(edges: DataFrame):
                      F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
 
 
+#: Edge tables of up to so many rows (a few MB) are worked off by one task, without shuffles.
+FEW_EDGES = 100_000
+
+
 def _minima(edges: DataFrame) -> DataFrame:
     return saved(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
 
@@ -25,8 +29,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     each step hangs neighbours on their smallest neighbour, so chains shorten
     geometrically and a star of any size is done at once. The minima are
     partially aggregated and written before they are joined back, so AQE can
-    split the join of a hub that has a large part of all edges. Only two numbers
-    per round reach the driver. Rows with a null end and loops are ignored; an
+    split the join of a hub that has a large part of all edges. Only a few numbers
+    per round reach the driver; the edges' count decides whether the next round
+    needs more than one task. Rows with a null end and loops are ignored; an
     empty edge table gives an empty result.
     """
     e = (edges.select("u", "v").where("u is not null and v is not null and u <> v")
@@ -34,15 +39,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
     e = saved(e, "cc-edges")
     before = _signature(e)
     while before[0]:
+        few = before[0] <= FEW_EDGES
+        together = (lambda t: t.coalesce(1)) if few else (lambda t: t)
+        e = together(e)
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = _minima(both)
+        both = together(both)
+        low = together(_minima(both))
         large = saved(
             both.join(low, "u").where("v > u")
             .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct(), "cc-large")
-        low2 = _minima(large)
+        large = together(large)
+        low2 = together(_minima(large))
         small = saved(
             large.join(low2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(low2.select("u", F.col("m").alias("v"))).distinct(), "cc-edges")
+            .union(low2.select("u", F.col("m").alias("v"))).transform(together).distinct(), "cc-edges")
         after = _signature(small)
         forget(e, low, large, low2)
         e = small

@@ -18,9 +18,11 @@ full sets: ``100 * intersection >= 75 * union``.
 
 Groups: equal sets are one class first. Inside a band's bucket no pairs are
 listed: every member is compared with one leader, linked members become one
-component, and only buckets that still hold several components go on with four
+component, and only buckets that still hold several components go on with 16
 times as many leaders, against members of other components, until each pair of
-different components in a bucket has been compared. Nothing is capped or sampled.
+different components in a bucket has been compared. A pair is left out where its
+link is impossible: shingles that no other document of the open buckets has bound
+the intersection from above. Nothing is capped or sampled.
 
 Defined cases: null texts have empty sets; a null id is linked with nothing, has
 no component and is kept; rows that share an id are one node; an empty table
@@ -44,8 +46,8 @@ from quarry.llm.store import forget, saved
 WORDS, COORDINATES, BAND = 5, 256, 5
 BANDS = COORDINATES // BAND
 THRESHOLD = 75  # percent
-#: Pairs whose 256 one-byte coordinates agree in a smaller share are no links: 9 deviations below 0.75.
-ESTIMATE = 0.5
+#: Pairs whose 256 one-byte coordinates agree in a smaller share are no links: 5.5 deviations below 0.75.
+ESTIMATE = 0.6
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(WORDS)], np.uint64)
 _ROUND = (np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -173,36 +175,73 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_batches(both.select("a", "b", "ta", "tb"), run, "a long, b long, linked boolean")
 
 
-def links_to_components(docs: DataFrame, members: DataFrame, signatures: DataFrame) -> DataFrame:
+def _own_shingles(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(id, own)``: the shingles of each of the given documents that no other of them has.
+
+    Tasks count within their batches first, so a group of near copies sends its
+    common shingles once per batch.
+    """
+    schema = pa.schema([("hash", pa.int64()), ("id", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            keys = batch.column("doc_id").to_pylist()
+            sets = [shingles(t or "") for t in batch.column("text").to_pylist()]
+            if not sets:
+                continue
+            h, owner = np.concatenate(sets), np.repeat(np.array(keys, np.int64), [len(s) for s in sets])
+            u, first, count = np.unique(h, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(u.view(np.int64)), pa.array(owner[first], mask=count > 1)], schema=schema)
+
+    chosen = texts.join(ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    seen = map_batches(chosen, run, "hash long, id long")
+    alone = seen.groupBy("hash").agg(F.count("*").alias("n"), F.max("id").alias("id")).where("n = 1 and id is not null")
+    return alone.groupBy("id").agg(F.count("*").alias("own"))
+
+
+def links_to_components(docs: DataFrame, members: DataFrame, sketched: DataFrame) -> DataFrame:
     """``(node, component)`` from the buckets ``members(key, id, leader)``."""
     need = members.select(F.col("id").alias("doc_id")).distinct()
     texts = saved(docs.select(F.col("doc_id").cast("long"), "text").join(need, "doc_id", "left_semi"), "near-texts")
     pairs = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    compared, slots = None, 1
-    live = members.select("key", "id")
-    leaders = members.select("key", "leader").distinct().withColumnRenamed("leader", "id")
+    sizes, own = sketched.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")), None
+    live, leaders = members.select("key", "id"), members.select("key", F.col("leader").alias("id")).distinct()
+    comps, slots = None, 1
     while True:
-        result = saved(_confirmed(_likely(pairs, signatures), texts), "near-tested")
-        linked = result.where("linked").select(F.col("b").alias("u"), F.col("a").alias("v"))
-        compared = linked if compared is None else compared.union(linked)
-        comps = saved(connected_components(compared), "near-components")
+        linked = saved(_confirmed(_likely(pairs, sketched), texts).where("linked")
+                       .select(F.col("b").alias("u"), F.col("a").alias("v")), "near-linked")
+        if comps is None:
+            comps = saved(connected_components(linked), "near-components")
+        elif not linked.isEmpty():  # the components so far are stars; new links join them
+            stars = comps.select(F.col("node").alias("u"), F.col("component").alias("v"))
+            comps = saved(connected_components(stars.union(linked)), "near-components")
         # members that have led have met every other component of their bucket
         rest = live.join(leaders, ["key", "id"], "left_anti")
-        rest = rest.join(comps.withColumnRenamed("node", "id"), "id", "left").select(
-            "key", "id", F.coalesce("component", "id").alias("c"))
-        rest = saved(rest, "near-rest")
-        open_keys = rest.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-        live = saved(rest.join(saved(open_keys.select("key"), "near-open"), "key", "left_semi"), "near-live")
-        forget(rest)
-        if live.isEmpty():
+        rest = saved(rest.join(comps.withColumnRenamed("node", "id"), "id", "left").select(
+            "key", "id", F.coalesce("component", "id").alias("c")), "near-rest")
+        open_keys = saved(rest.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+                          .where("lo <> hi").select("key"), "near-open")
+        if open_keys.isEmpty():
             return comps
-        slots *= 4
+        live = rest.join(open_keys, "key", "left_semi")
+        if own is None:  # counted once, among all that are still to be compared
+            live = saved(live, "near-live")
+            own = saved(_own_shingles(texts, live), "near-own")
+            sizes = saved(sizes.join(live.select("id").distinct(), "id", "left_semi").join(own, "id", "left").select(
+                "id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("m")), "near-sizes")
+        # m shingles at most are shared with any other; with too few of them there is no link at all
+        live = saved(live.join(sizes.where(f"100 * m >= {THRESHOLD} * n"), "id"), "near-live")
+        forget(rest, linked)
+        slots *= 16
         slot = F.pmod(F.xxhash64("id"), F.lit(slots))
-        lead = saved(live.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("id", "c")).alias("x"))
-                     .select("key", F.col("x.id").alias("id"), F.col("x.c").alias("c")), "near-leaders")
+        lead = saved(live.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("id", "c", "n", "m")).alias("x"))
+                     .select("key", "x.id", "x.c", "x.n", "x.m"), "near-leaders")
         leaders = lead.select("key", "id")
-        other = live.toDF("key", "b", "cb")
-        pairs = lead.toDF("key", "a", "ca").join(other, "key").where("ca <> cb").select(
+        # an upper bound of the intersection must reach the threshold
+        near = f"ca <> cb and 100 * least(ma, mb) >= {THRESHOLD} * (na + nb - least(ma, mb))"
+        both = live.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("m").alias("mb"))
+        pairs = lead.toDF("key", "a", "ca", "na", "ma").join(both, "key").where(near).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         live = live.select("key", "id")
 
@@ -214,7 +253,7 @@ def components(docs: DataFrame) -> DataFrame:
                     "near-classes")
     chosen = rows.where("set_key is not null").join(
         classes, (rows["set_key"] == classes["set_key"]) & (rows["doc_id"] == classes["rep"]), "left_semi")
-    chosen = saved(chosen.select("doc_id", "signature", "bands").dropDuplicates(["doc_id"]), "near-chosen")
+    chosen = saved(chosen.select("doc_id", "n_shingles", "signature", "bands").dropDuplicates(["doc_id"]), "near-chosen")
     bands = chosen.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
     shared = saved(bands.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n"))
                    .where("n > 1").select("key", "leader"), "near-buckets")
