@@ -185,7 +185,7 @@ def read_back(chunks: DataFrame, index: DataFrame) -> DataFrame:
 
     @F.pandas_udf("long")
     def joined(pieces):
-        return pieces.map(lambda own: crc32_joined([(x["crc"], 4 * x["n"]) for x in own]))
+        return pieces.map(lambda own: None if own is None else crc32_joined([(x["crc"], 4 * x["n"]) for x in own]))
 
     pieces = map_batches(
         chunks.select("part", "chunk", "docs", "payload"), run,
@@ -194,6 +194,8 @@ def read_back(chunks: DataFrame, index: DataFrame) -> DataFrame:
         F.first("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"),
         F.sort_array(F.collect_list(F.struct("chunk", "at", "n", "crc"))).alias("pieces"))
     docs = docs.withColumn("chunk", F.col("pieces")[0]["chunk"]).withColumn("at", F.col("pieces")[0]["at"])
-    crc = F.when(F.size("pieces") == 1, F.col("pieces")[0]["crc"]).otherwise(joined("pieces"))
+    # only the few documents that span chunks go to Python
+    several = F.when(F.size("pieces") > 1, F.transform("pieces", lambda x: F.struct(x["crc"].alias("crc"), x["n"].alias("n"))))
+    crc = F.coalesce(joined(several), F.col("pieces")[0]["crc"])
     return docs.join(index.select("part", "chunk", "first_id"), ["part", "chunk"]).select(
         "doc_id", (F.col("first_id") + F.col("at")).alias("start"), "n_tokens", crc.alias("ids_crc32"))
