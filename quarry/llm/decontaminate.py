@@ -64,19 +64,16 @@ def core(word: str) -> str:
     return word[a:b]
 
 
-class Words:
-    """Properties of raw words, by number; a cache that is emptied at ``limit`` words."""
+class Words(dict):
+    """Numbers of raw words, and their properties by number; emptied between texts at ``limit`` words."""
 
     def __init__(self, limit: int = 400_000):
+        super().__init__()
         self.limit = limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[str, int] = {}
         self.hash, self.kind, self.flags = np.zeros(1024, np.uint64), np.zeros(1024, np.uint8), np.zeros(1024, np.uint8)
 
-    def add(self, word: str) -> int:
-        n = self.number[word] = len(self.number)
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
         if n == len(self.hash):
             for name in ("hash", "kind", "flags"):
                 old = getattr(self, name)
@@ -84,51 +81,46 @@ class Words:
         c = core(word)
         low = c.lower()
         self.hash[n] = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
-        self.kind[n] = (BREAK if word == "\n" else NOTHING if not c
+        self.kind[n] = (BREAK if word == _NEWLINE else NOTHING if not c
                         else NUMBER if _NUMBER.match(c) or low in NUMBER_WORDS else LITERAL)
         ends = word.rstrip("\"')]}»”’")[-1:] in tuple(".!?:")
         self.flags[n] = ends + 2 * c[:1].isupper() + 4 * (low in UNITS)
         return n
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        if len(self.number) > self.limit:
+        if len(self) > self.limit:
             self.clear()
-        get = self.number.get
-        found = [get(w) for w in words]
-        if None in found:
-            found = [n if n is not None else get(w, -1) for n, w in zip(found, words)]
-            found = [n if n >= 0 else (self.number[w] if w in self.number else self.add(w)) for n, w in zip(found, words)]
-        return np.array(found, np.int64)
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
+_NEWLINE = "\x00"
 _words = Words()
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Token hashes, token kinds, and the raw words of a text's template tokens."""
-    words = text.replace("\n", " \n ").split(" ") if text else []
-    words = [w for x in words for w in ((x,) if x == "\n" else x.split())]
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint8), []
+def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Token hashes and kinds of a text's template, its raw words, and which of them are the tokens."""
+    words = text.replace("\n", f" {_NEWLINE} ").split()
     n = _words.numbers(words)
-    kind, flags = _words.kind[n].copy(), _words.flags[n]
+    kind, flags = _words.kind[n], _words.flags[n]
     start = np.ones(len(n), bool)
     start[1:] = (flags[:-1] & 1 > 0) | (kind[:-1] == BREAK)
     kind[(kind == LITERAL) & (flags & 2 > 0) & ~start] = NAME
-    kept = np.flatnonzero((kind != BREAK) & (kind != NOTHING))
+    kept = np.flatnonzero(kind < NOTHING)
     kind, n, flags = kind[kept], n[kept], flags[kept]
-    after_number = np.concatenate([[False], kind[:-1] == NUMBER])
+    after_number = np.zeros(len(kind), bool)
+    after_number[1:] = kind[:-1] == NUMBER
     kind[after_number & (flags & 4 > 0)] = UNIT
-    return np.where(kind == LITERAL, _words.hash[n], _KIND_HASH[kind]), kind, [words[k] for k in kept]
+    return np.where(kind == LITERAL, _words.hash[n], _KIND_HASH[kind]), kind, words, kept
 
 
 def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
     n = len(tokens) - size + 1
     if n < 1:
         return np.zeros(0, np.uint64)
-    x = np.full(n, size, np.uint64) * _STEP[-1]
+    t = _mix(tokens)
+    x = np.full(n, np.uint64(size) * _STEP[-1])
     for k in range(size):
-        x += _mix(tokens[k:n + k]) * _STEP[k]
+        x += t[k:n + k] * _STEP[k]
     return _mix(x)
 
 
@@ -155,7 +147,7 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
         for batch in batches:
             rows = []
             for key, text in text_rows(batch, "id", "text"):
-                tokens, kinds, words = template(text)
+                tokens, kinds, words, place = template(text)
                 own = sizes or [min(WINDOW, len(tokens))]
                 for size in own:
                     h = window_hashes(tokens, size) if size else np.zeros(0, np.uint64)
@@ -171,7 +163,7 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
                         take = range(len(h))
                     for p in take:
                         p = int(p)
-                        shown, slots = _shown(words[p:p + size], kinds[p:p + size].tolist())
+                        shown, slots = _shown([words[k] for k in place[p:p + size]], kinds[p:p + size].tolist())
                         rows.append((key, p, size, int(h[p].view(np.int64)), len(tokens), shown, slots))
                 if len(rows) >= 20_000:
                     yield columns(rows, _SCHEMA)
