@@ -21,7 +21,8 @@ listed: every member is compared with one leader, linked members become one
 component, and only buckets that still hold several components go on with 16
 times as many leaders, against members of other components, until each pair of
 different components in a bucket has been compared. A pair is left out where its
-link is impossible: shingles that no other document of the open buckets has bound
+link is impossible: documents of the open buckets that share a rare shingle (of at
+most RARE of them) are compared anyway, so for all others the rare shingles bound
 the intersection from above. Nothing is capped or sampled.
 
 Defined cases: null texts have empty sets; a null id is linked with nothing, has
@@ -48,6 +49,7 @@ BANDS = COORDINATES // BAND
 THRESHOLD = 75  # percent
 #: Pairs whose 256 one-byte coordinates agree in a smaller share are no links: 5.5 deviations below 0.75.
 ESTIMATE = 0.6
+RARE = 8
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(WORDS)], np.uint64)
 _ROUND = (np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -175,13 +177,13 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_batches(both.select("a", "b", "ta", "tb"), run, "a long, b long, linked boolean")
 
 
-def _own_shingles(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """``(id, own)``: the shingles of each of the given documents that no other of them has.
+def _rare_shingles(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(hash, ids)``: the shingles that at most RARE of the given documents have, with those documents.
 
-    Tasks count within their batches first, so a group of near copies sends its
-    common shingles once per batch.
+    Tasks count within their batches first, so a group of near copies sends each
+    common shingle once per batch.
     """
-    schema = pa.schema([("hash", pa.int64()), ("id", pa.int64())])
+    schema = pa.schema([("hash", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
         for batch in batches:
@@ -190,14 +192,18 @@ def _own_shingles(texts: DataFrame, ids: DataFrame) -> DataFrame:
             if not sets:
                 continue
             h, owner = np.concatenate(sets), np.repeat(np.array(keys, np.int64), [len(s) for s in sets])
-            u, first, count = np.unique(h, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(u.view(np.int64)), pa.array(owner[first], mask=count > 1)], schema=schema)
+            u, first, back, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+            common = count > RARE
+            few = ~common[back]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([h[few], u[common]]).view(np.int64)),
+                pa.array(np.concatenate([owner[few], owner[first[common]]])),
+                pa.array(np.concatenate([np.ones(few.sum(), np.int64), count[common]]))], schema=schema)
 
     chosen = texts.join(ids.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    seen = map_batches(chosen, run, "hash long, id long")
-    alone = seen.groupBy("hash").agg(F.count("*").alias("n"), F.max("id").alias("id")).where("n = 1 and id is not null")
-    return alone.groupBy("id").agg(F.count("*").alias("own"))
+    seen = saved(map_batches(chosen, run, "hash long, id long, n long"), "near-seen")
+    rare = seen.groupBy("hash").agg(F.sum("n").alias("df")).where(f"df <= {RARE}").select("hash")
+    return seen.join(rare, "hash", "left_semi").groupBy("hash").agg(F.sort_array(F.collect_set("id")).alias("ids"))
 
 
 def links_to_components(docs: DataFrame, members: DataFrame, sketched: DataFrame) -> DataFrame:
@@ -205,7 +211,7 @@ def links_to_components(docs: DataFrame, members: DataFrame, sketched: DataFrame
     need = members.select(F.col("id").alias("doc_id")).distinct()
     texts = saved(docs.select(F.col("doc_id").cast("long"), "text").join(need, "doc_id", "left_semi"), "near-texts")
     pairs = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    sizes, own = sketched.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n")), None
+    sizes = alike = None
     live, leaders = members.select("key", "id"), members.select("key", F.col("leader").alias("id")).distinct()
     comps, slots = None, 1
     while True:
@@ -225,12 +231,19 @@ def links_to_components(docs: DataFrame, members: DataFrame, sketched: DataFrame
         if open_keys.isEmpty():
             return comps
         live = rest.join(open_keys, "key", "left_semi")
-        if own is None:  # counted once, among all that are still to be compared
+        if sizes is None:  # once, for all that are still to be compared
             live = saved(live, "near-live")
-            own = saved(_own_shingles(texts, live), "near-own")
-            sizes = saved(sizes.join(live.select("id").distinct(), "id", "left_semi").join(own, "id", "left").select(
+            rare = saved(_rare_shingles(texts, live), "near-rare")
+            own = rare.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("own"))
+            sizes = saved(sketched.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"))
+                          .join(live.select("id").distinct(), "id", "left_semi").join(own, "id", "left").select(
                 "id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("m")), "near-sizes")
-        # m shingles at most are shared with any other; with too few of them there is no link at all
+            alike = rare.where("size(ids) > 1").select(F.explode("ids").alias("a"), "ids").select(
+                "a", F.explode("ids").alias("b")).where("a < b").distinct()
+            label = comps.select(F.col("node"), F.col("component"))
+            alike = (alike.join(label.toDF("a", "ca"), "a", "left").join(label.toDF("b", "cb"), "b", "left")
+                     .where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"))
+        # without a common rare shingle, m shingles at most are shared with any other
         live = saved(live.join(sizes.where(f"100 * m >= {THRESHOLD} * n"), "id"), "near-live")
         forget(rest, linked)
         slots *= 16
@@ -243,6 +256,8 @@ def links_to_components(docs: DataFrame, members: DataFrame, sketched: DataFrame
         both = live.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("m").alias("mb"))
         pairs = lead.toDF("key", "a", "ca", "na", "ma").join(both, "key").where(near).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if alike is not None:
+            pairs, alike = pairs.union(alike).distinct(), None
         live = live.select("key", "id")
 
 
