@@ -16,7 +16,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_chunks.deduplicated(load_table(spark, sf_dir, "documents"))
+    return line_chunks.deduplicated(load_table(spark, sf_dir, "documents"), passages=True)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

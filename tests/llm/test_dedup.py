@@ -181,3 +181,46 @@ def test_chunk_boundaries_resist_shifts():
     moved = ["new first line", "and another"] + body
     b = {tuple(moved[i:j]) for i, j, _ in line_chunks.chunks("\n".join(moved))}
     assert len(a - b) <= 2
+
+
+def brute_passages(rows):
+    """Repeated chunks, and every repeated run of two lines with words and 50 words, line by line."""
+    order = sorted({(d is not None, d or 0, t or "") for d, t in rows})
+    full = lambda own: len(own) > 1 and own[0].split() and own[-1].split() and sum(len(x.split()) for x in own) >= 50
+    places = {}
+    for n, (_, _, t) in enumerate(order):
+        lines = t.split("\n")
+        own = {(a, b) for a in range(len(lines)) for b in range(a + 2, len(lines) + 1) if full(lines[a:b])}
+        own |= {(a, b) for a, b, counts in line_chunks.chunks(t) if counts}
+        for a, b in sorted(own):
+            places.setdefault("\n".join(lines[a:b]), []).append((n, a, b))
+    gone = set()
+    for (n, a, b), *others in places.values():
+        gone |= {(m, k) for m, c, e in others for k in range(c, e) if not (m == n and k < b)}
+    return {(d if known else None, t): "\n".join(x for k, x in enumerate(t.split("\n")) if (n, k) not in gone)
+            for n, (known, d, t) in enumerate(order)}
+
+
+def test_passages_of_several_lines(spark):
+    """Repeated passages of over 50 words go from their first to their last line, whatever stands around them."""
+    r = random.Random(12)
+    shapes = [(2, 30), (3, 20), (4, 15), (6, 10), (10, 10)] * 4
+    unique = iter(range(10**6))
+    around = lambda: [f"u{next(unique)} u{next(unique)} alone" for _ in range(r.randrange(1, 5))]
+    passages = [[" ".join(f"p{next(unique)}" for _ in range(w)) for _ in range(n)] for n, w in shapes]
+    rows = [(d, "\n".join(around() + p + around())) for k, p in enumerate(passages) for d in (k, 100 + k)]
+    edges = ["\n".join(p[:1] + [""] + p[1:]) for p in passages[:4]]  # other runs of the same lines
+    rows += [(200 + k, e + "\n" + "\n".join(around())) for k, e in enumerate(edges)]
+    rows += [(300 + k, "top\n" + e) for k, e in enumerate(edges)]
+    rows += [(400, "x y\n" * 120), (401, "\n".join(passages[0] + passages[1] + passages[0])), (None, "\n".join(passages[7])),
+             (402, None), (403, "a b\nc d\nshort run"), (404, "e f\ng h\nshort run"), (102, rows[5][1])]
+    got = {x["doc_id"]: x for x in line_chunks.deduplicated(texts(spark, rows), passages=True).collect()}
+    for k, p in enumerate(passages):
+        copy = got[100 + k]
+        assert not set(p) & set(copy["text"].split("\n")) and copy["removed_lines"] == len(p), shapes[k]
+        assert k == 7 or "\n".join(p) in got[k]["text"]
+    want = brute_passages(rows)
+    by_id = dict(rows)
+    assert {d: x["text"] for d, x in got.items()} == {d: want[(d, t or "")] for d, t in by_id.items()}
+    assert got[400]["removed_lines"] >= 60 and got[403]["removed_lines"] == 0
+    assert line_chunks.deduplicated(texts(spark, []), passages=True).collect() == []
