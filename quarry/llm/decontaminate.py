@@ -10,6 +10,10 @@ CONSISTENT of the places: a question that was re-parameterised is found, a
 template that only looks alike is not. A document is contaminated by an item
 when consistent windows cover half of the item's tokens, or LONG_RUN of them.
 
+A window with fewer literals than half its tokens (or none, if it is a whole item)
+says little as a template; it is joined on its raw lower-cased words instead, so
+verbatim copies of number-rich items are found and bare placeholders match nothing.
+
 The benchmark's window hashes are sent to the tasks when there are at most
 BROADCAST_WINDOWS of them (16 MB); beyond, all windows of the documents are
 joined by a shuffle, with the same result.
@@ -46,6 +50,7 @@ NUMBER_WORDS = frozenset("""two three four five six seven eight nine ten eleven
 seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split())
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?$")
 _STEP = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(WINDOW)], np.uint64)
+_TOP = np.uint64(42)
 _KIND_HASH = np.array([0, 0x51ED270B, 0x2545F491, 0x4F6CDD1D], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,8 +102,8 @@ _NEWLINE = "\x00"
 _words = Words()
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """Token hashes and kinds of a text's template, its raw words, and which of them are the tokens."""
+def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """Token hashes and kinds of a text's template, its raw words, which of them are the tokens, and those' hashes."""
     words = text.replace("\n", f" {_NEWLINE} ").split()
     n = _words.numbers(words)
     kind, flags = _words.kind[n], _words.flags[n]
@@ -110,7 +115,8 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
     after_number = np.zeros(len(kind), bool)
     after_number[1:] = kind[:-1] == NUMBER
     kind[after_number & (flags & 4 > 0)] = UNIT
-    return np.where(kind == LITERAL, _words.hash[n], _KIND_HASH[kind]), kind, words, kept
+    raw = _words.hash[n]
+    return np.where(kind == LITERAL, raw, _KIND_HASH[kind]), kind, words, kept, raw
 
 
 def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -124,6 +130,26 @@ def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
     return _mix(x)
 
 
+def readings(tokens: np.ndarray, kinds: np.ndarray, raw: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashes and kinds of a text's tokens as a template and, last, as raw lower-cased words."""
+    out = [(tokens, kinds)]
+    if (kinds != LITERAL).any():
+        out.append((raw, np.zeros_like(kinds)))
+    return out
+
+
+def telling(read: list[tuple[np.ndarray, np.ndarray]], size: int) -> list[np.ndarray]:
+    """Which windows of an item count in each reading: templates with enough literals, the others as raw words."""
+    out, whole = [], len(read[0][0]) == size
+    for _, kinds in read:
+        literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
+        n = literal[size:] - literal[:-size]
+        out.append((2 * n >= size) | whole & (n > 0))
+    if len(read) > 1:
+        out[-1] = ~out[-2]
+    return out
+
+
 def _shown(words: list[str], kinds: np.ndarray) -> tuple[str, list[str]]:
     """A window's template text and its slots' values, typed."""
     cores = [core(w).lower() for w in words]
@@ -140,31 +166,39 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
     """Template windows of a table's texts.
 
     ``sizes`` None: windows of each item's own size (WINDOW or, if shorter, its
-    length), those with fewer than half literal tokens left out unless they are
-    the whole item. ``wanted``: a broadcast sorted array; other hashes are left out.
+    length), in the readings that :func:`readings` gives and :func:`telling` keeps.
+    Other tables have every reading of every window, equal ones once. ``wanted``: a
+    broadcast sorted array; other hashes are left out.
     """
     def run(batches):
+        w = bits = None
+        if wanted is not None:  # the hashes' top bits rule out most windows
+            w, bits = wanted.value, np.zeros(1 << 64 - int(_TOP), bool)
+            bits[w >> _TOP] = True
         for batch in batches:
             rows = []
             for key, text in text_rows(batch, "id", "text"):
-                tokens, kinds, words, place = template(text)
-                own = sizes or [min(WINDOW, len(tokens))]
-                for size in own:
-                    h = window_hashes(tokens, size) if size else np.zeros(0, np.uint64)
-                    if not len(h):
+                tokens, kinds, words, place, raw = template(text)
+                read = readings(tokens, kinds, raw)
+                for size in sizes or [min(WINDOW, len(tokens))]:
+                    if not 0 < size <= len(tokens):
                         continue
-                    if wanted is not None:
-                        w = wanted.value
-                        take = np.flatnonzero(w[np.minimum(np.searchsorted(w, h), len(w) - 1)] == h) if len(w) else []
-                    elif sizes is None:
-                        literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-                        take = np.flatnonzero((2 * (literal[size:] - literal[:-size]) >= size) | (len(tokens) == size))
-                    else:
-                        take = range(len(h))
-                    for p in take:
-                        p = int(p)
-                        shown, slots = _shown([words[k] for k in place[p:p + size]], kinds[p:p + size].tolist())
-                        rows.append((key, p, size, int(h[p].view(np.int64)), len(tokens), shown, slots))
+                    counts, before = telling(read, size) if sizes is None else None, []
+                    for r, (hashes, kinds) in enumerate(read):
+                        h = window_hashes(hashes, size)
+                        take = counts[r].copy() if counts else np.ones(len(h), bool)
+                        if bits is not None:
+                            take = bits[h >> _TOP]
+                            at = np.flatnonzero(take)
+                            take[at] = w[np.minimum(np.searchsorted(w, h[at]), len(w) - 1)] == h[at]
+                        if not take.any():
+                            continue
+                        for other, taken in before:  # a window that an earlier reading has
+                            take &= ~((h == other) & taken)
+                        before.append((h, take))
+                        for p in np.flatnonzero(take).tolist():
+                            shown, slots = _shown([words[k] for k in place[p:p + size]], kinds[p:p + size].tolist())
+                            rows.append((key, p, size, int(h[p].view(np.int64)), len(tokens), shown, slots))
                 if len(rows) >= 20_000:
                     yield columns(rows, _SCHEMA)
                     rows = []
@@ -210,7 +244,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROA
     c = checked.toDF("d", "i", "s", *checked.columns[3:])
     for a, b in zip(by, "dis"):
         on = on & aligned[a].eqNullSafe(c[b])
-    good = aligned.join(c, on, "left").where(f"consistency is null or consistency >= {CONSISTENT}")
+    good = aligned.join(c, on, "left").where(
+        f"consistency is null or consistency >= {CONSISTENT} or slots = item_slots")
     good = good.groupBy("doc_id", "item_id", "item_pos").agg(
         F.first("size").alias("size"), F.first("item_tokens").alias("item_tokens"),
         F.min(F.coalesce(F.col("changed") / F.col("places"), F.lit(0.0))).alias("changed"))

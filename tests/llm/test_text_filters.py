@@ -76,6 +76,24 @@ def test_inconsistent_slots_are_no_match(spark):
     assert [r["doc_id"] for r in got] == [2]
 
 
+def found(spark, rows, items):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    both = [{(r["doc_id"], r["item_id"]) for r in decontaminate.matches(texts(spark, rows), bench, bound).collect()}
+            for bound in (decontaminate.BROADCAST_WINDOWS, 0)]
+    assert both[0] == both[1]
+    return both[0]
+
+
+def test_items_poor_in_literals(spark):
+    """Verbatim copies of items made of numbers or names are found; placeholders alone match nothing."""
+    items = [(1, "Compute 12 + 34 - 56 * 78 / 9 + 10 + 11 + 13 + 14 + 15"), (2, "91 92"),
+             (3, "The Great Wall Of China Was Built Under Many Kings And Queens Of Old")]
+    rows = [(k, f"Some page says so. {t} Then it goes on.") for k, t in items]
+    rows += [(10, "Compute 13 + 35 - 57 * 79 / 8 + 11 + 12 + 14 + 15 + 16"), (11, "in 1999 2004 and 77 78"),
+             (12, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17"), (13, "An Old Man Met Many Great Men In That Big Town Of Ours")]
+    assert found(spark, rows, items) == {(1, 1), (2, 2), (3, 3)}
+
+
 def test_decontamination_against_brute_force(spark, sf):
     docs, bench = load_table(spark, sf, "documents"), load_table(spark, sf, "benchmark")
     grams = lambda t: {tuple(w[k:k + 6]) for w in [t.lower().split()] for k in range(len(w) - 5)}
