@@ -10,6 +10,12 @@ CONSISTENT of the places: a question that was re-parameterised is found, a
 template that only looks alike is not. A document is contaminated by an item
 when consistent windows cover half of the item's tokens, or LONG_RUN of them.
 
+Which words are names depends on capitals and on the word before, so every text is
+read in further ways, and a window matches if any two readings do: with each
+capitalised word but the COMMON ones as a name, wherever it stands, and with no names
+at all, every word lower-cased. Copies that differ in case or stand elsewhere are
+found by these, and the covered tokens of all readings are united.
+
 A window with fewer literals than half its tokens (or none, if it is a whole item)
 says little as a template; it is joined on its raw lower-cased words instead, so
 verbatim copies of number-rich items are found and bare placeholders match nothing.
@@ -48,6 +54,12 @@ minutes min hour hours h day days week weeks month months year years mph kph dol
 eur € $ £ degrees degree celsius fahrenheit watts watt kw volts volt joules joule hz khz mhz gb mb kb bytes""".split())
 NUMBER_WORDS = frozenset("""two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen
 seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion""".split())
+#: Words that are no names, though a capital starts them.
+COMMON = frozenset("""a about after all also although an and any are as at because been before both but by can could did do
+does during each either every few find first for from give given had has have he her here his how i if in into is it its
+let may might more most must my no not now of on one only or other our she should show since so solve some such than that
+the their then there these they this those though through to under until was we were what when where whether which while
+who whom whose why will with would you your le la les un une des el los las una que de""".split())
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?$")
 _STEP = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64) for k in range(WINDOW)], np.uint64)
 _TOP = np.uint64(42)
@@ -89,7 +101,7 @@ class Words(dict):
         self.kind[n] = (BREAK if word == _NEWLINE else NOTHING if not c
                         else NUMBER if _NUMBER.match(c) or low in NUMBER_WORDS else LITERAL)
         ends = word.rstrip("\"')]}»”’")[-1:] in tuple(".!?:")
-        self.flags[n] = ends + 2 * c[:1].isupper() + 4 * (low in UNITS)
+        self.flags[n] = ends + 2 * c[:1].isupper() + 4 * (low in UNITS) + 8 * (low in COMMON)
         return n
 
     def numbers(self, words: list[str]) -> np.ndarray:
@@ -102,8 +114,8 @@ _NEWLINE = "\x00"
 _words = Words()
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
-    """Token hashes and kinds of a text's template, its raw words, which of them are the tokens, and those' hashes."""
+def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Token hashes and kinds of a text's template, its raw words, which of them are the tokens, and its readings."""
     words = text.replace("\n", f" {_NEWLINE} ").split()
     n = _words.numbers(words)
     kind, flags = _words.kind[n], _words.flags[n]
@@ -115,8 +127,8 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray,
     after_number = np.zeros(len(kind), bool)
     after_number[1:] = kind[:-1] == NUMBER
     kind[after_number & (flags & 4 > 0)] = UNIT
-    raw = _words.hash[n]
-    return np.where(kind == LITERAL, raw, _KIND_HASH[kind]), kind, words, kept, raw
+    read = readings(_words.hash[n], kind, flags & 10 == 2)
+    return *read[0], words, kept, read
 
 
 def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -130,24 +142,24 @@ def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
     return _mix(x)
 
 
-def readings(tokens: np.ndarray, kinds: np.ndarray, raw: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Hashes and kinds of a text's tokens as a template and, last, as raw lower-cased words."""
-    out = [(tokens, kinds)]
-    if (kinds != LITERAL).any():
-        out.append((raw, np.zeros_like(kinds)))
-    return out
+def readings(raw: np.ndarray, kinds: np.ndarray, capital: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashes and kinds of a text's tokens: as a template, with every capitalised word as a name, without names,
+    and as raw lower-cased words."""
+    word = (kinds == LITERAL) | (kinds == NAME)
+    named = np.where(word, np.where(capital, NAME, LITERAL), kinds)
+    return [(np.where(k == LITERAL, raw, _KIND_HASH[k]), k)
+            for k in (kinds, named, np.where(word, LITERAL, kinds), np.zeros_like(kinds))]
 
 
 def telling(read: list[tuple[np.ndarray, np.ndarray]], size: int) -> list[np.ndarray]:
     """Which windows of an item count in each reading: templates with enough literals, the others as raw words."""
-    out, whole = [], len(read[0][0]) == size
+    enough, some, whole = [], [], len(read[0][0]) == size
     for _, kinds in read:
         literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
         n = literal[size:] - literal[:-size]
-        out.append((2 * n >= size) | whole & (n > 0))
-    if len(read) > 1:
-        out[-1] = ~out[-2]
-    return out
+        enough.append(2 * n >= size)
+        some.append(enough[-1] | whole & (n > 0))
+    return [some[0], enough[1], some[2], ~some[2]]
 
 
 def _shown(words: list[str], kinds: np.ndarray) -> tuple[str, list[str]]:
@@ -178,8 +190,7 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
         for batch in batches:
             rows = []
             for key, text in text_rows(batch, "id", "text"):
-                tokens, kinds, words, place, raw = template(text)
-                read = readings(tokens, kinds, raw)
+                tokens, _, words, place, read = template(text)
                 for size in sizes or [min(WINDOW, len(tokens))]:
                     if not 0 < size <= len(tokens):
                         continue

@@ -94,6 +94,24 @@ def test_items_poor_in_literals(spark):
     assert found(spark, rows, items) == {(1, 1), (2, 2), (3, 3)}
 
 
+def test_copies_in_other_case_or_place(spark):
+    capital, apples = "What is the capital of France?", "Alice has 3 apples and buys 4 more"
+    long = ("Maria and John from Paris took 12 books to London and gave Peter 7 of them before Anna came "
+            "home to Berlin with 3 more for Paul. How many are left?")
+    items = [(1, capital), (2, apples), (3, long)]
+    rows = [(1, "They asked What is the capital of France? And so on."), (2, "we know that Alice has 3 apples and buys 4 more"),
+            (3, long.upper()), (4, long.title()), (5, long.lower()), (6, long), (7, capital.upper()),
+            (8, "Bob has 5 apples and buys 9 more"), (9, "then Bob has 5 apples and buys 9 more"),
+            (10, "Paris is the capital of France."), (11, "He says Alice has 3 pears and eats 4 more")]
+    assert found(spark, rows, items) == {(1, 1), (2, 2), (3, 3), (4, 3), (5, 3), (6, 3), (7, 1), (8, 2), (9, 2)}
+
+
+def test_items_of_the_tables_in_other_case(spark, sf):
+    own = [(r["item_id"], r["text"]) for r in load_table(spark, sf, "benchmark").collect()]
+    rows = [(n * 1000 + i, change(t)) for i, t in own for n, change in enumerate((str, str.upper, str.lower, str.title))]
+    assert {(d, d % 1000) for d, _ in rows} <= found(spark, rows, own)
+
+
 def test_decontamination_against_brute_force(spark, sf):
     docs, bench = load_table(spark, sf, "documents"), load_table(spark, sf, "benchmark")
     grams = lambda t: {tuple(w[k:k + 6]) for w in [t.lower().split()] for k in range(len(w) - 5)}
