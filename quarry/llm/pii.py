@@ -2,7 +2,9 @@
 
 Base spans (email, ip, card, phone) follow fixed patterns. Wider patterns propose
 further candidates: phone numbers without a plus sign, bracketed e-mail addresses
-(``name [at] host [dot] tld``), IPv6 addresses and card-like numbers. Six labelers
+(``name [at] host [dot] tld``), IPv6 addresses and card-like numbers. A run of digits
+that may hold several numbers is also split: grouped forms first, then the rest at its
+separators; of candidates that overlap, the most probable is added. Six labelers
 (strict pattern, checksum or range, gazetteer, context for, context against,
 surroundings) vote for, against or abstain on every candidate, base spans
 included. The votes are counted by pattern in Spark (a table bounded by the number
@@ -22,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,6 +52,10 @@ _AT = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}"
 _SPELLED_AT, _SPELLED_DOT = (re.compile(rf" ?[\[(] ?{w} ?[\])] ?", re.I) for w in ("at", "dot"))
 _BRACKETED_AT = re.compile(r"[\[(] ?at ?[\])]", re.I)
 _BARE_PHONE = re.compile(r"[0-9(](?:[ ().-]{0,3}[0-9])+")
+_FORM = re.compile(r"(?P<phone>(?:(?<![0-9])1[ .-]{1,2})?(?:\([0-9]{3}\)[ .-]{0,2}|(?<![0-9])[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+                   r"|(?<![0-9])[0-9]{2}(?:[ .-][0-9]{2}){4})(?![0-9])"
+                   r"|(?<![0-9])[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}(?![0-9])")
+_WIDE, _PART = re.compile(r"[0-9](?:[.-]?[0-9])*"), re.compile(r"[0-9]+")
 _SIX = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Fa-f:])")
 _NANP = re.compile(r"\+?1?[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}$")
 _GROUPS = re.compile(r"[0-9]{4}([ -]?)[0-9]{4}\1[0-9]{4}\1[0-9]{2,7}$|[0-9]{4}([ -]?)[0-9]{6}\2[0-9]{5}$")
@@ -127,33 +134,59 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _kinds(digits: int) -> list[int]:
+    """What a run of so many digits may be."""
+    return [PHONE] * (7 <= digits <= 15) + [CARD] * (13 <= digits <= 19)
+
+
+def _numbers(text: str, start: int, end: int):
+    """Candidates in a run of digits and separators: the whole run if one number can have so many digits,
+    and the pieces of a run that can hold more than one."""
+    n = len(_only_digits(text[start:end]))
+    if end - start <= 60:
+        yield from ((start, kind, end) for kind in _kinds(n))
+    if n < 13:
+        return
+    rest, at = [], start
+    for m in _FORM.finditer(text, start, end):
+        rest.append((at, m.start()))
+        at = m.end()
+        if m.span() != (start, end) or m["phone"]:
+            yield m.start(), PHONE if m["phone"] else CARD, m.end()
+    for a, b in [*rest, (at, end)]:
+        for m in _WIDE.finditer(text, a, b):  # at blanks and brackets, then at every separator
+            own = [m]
+            if len(_only_digits(m.group())) > 19:
+                own = _PART.finditer(text, m.start(), m.end())
+            for x in own:
+                if x.span() != (start, end):
+                    yield from ((x.start(), kind, x.end()) for kind in _kinds(len(_only_digits(x.group()))))
+
+
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Further spans worth a vote, apart from each other and from the base spans."""
-    found = []
+    """Further spans worth a vote, apart from the base spans; only those of one run of digits overlap."""
+    found = []  # with the run of digits that a span is from
     if _BRACKETED_AT.search(text):
-        found += [(m.start(), EMAIL, m.end()) for m in _AT.finditer(text)]
+        found += [(m.start(), EMAIL, m.end(), -1) for m in _AT.finditer(text)]
     if _HAS_DIGIT.search(text):
         for m in _BARE_PHONE.finditer(text):
-            n = len(_only_digits(m.group())) if 7 <= m.end() - m.start() <= 60 else 0
-            if 13 <= n <= 19:
-                found.append((m.start(), CARD, m.end()))
-            elif 7 <= n <= 12:
-                found.append((m.start(), PHONE, m.end()))
+            if m.end() - m.start() >= 7:
+                found += [(*x, m.start()) for x in _numbers(text, *m.span())]
     if text.count(":") > 1:
         for m in _SIX.finditer(text):
             try:
                 ipaddress.IPv6Address(m.group())
             except ValueError:
                 continue
-            found.append((m.start(), IP, m.end()))
+            found.append((m.start(), IP, m.end(), -1))
     taken = sorted((a, b) for a, _, b in base)
-    out, k, free = [], 0, 0
-    for a, kind, b in sorted(found, key=lambda x: (x[0], -x[2], x[1])):
+    out, k, free, last = [], 0, 0, -1
+    for a, kind, b, run in sorted(found, key=lambda x: (x[0], -x[2], x[1])):
         while k < len(taken) and taken[k][1] <= a:
             k += 1
-        if a >= free and not (k < len(taken) and taken[k][0] < b):
+        if (a >= free or run == last >= 0) and not (k < len(taken) and taken[k][0] < b):
             out.append((a, kind, b))
-            free = b
+            free, last = max(free, b), run
     return out
 
 
@@ -271,6 +304,18 @@ def fit(spans: DataFrame) -> SpanClassifier:
     return SpanClassifier(logistic(_features(patterns), p, count, ridge=1.0), table)
 
 
+def _apart(spans: list[tuple[int, int, int]], p: np.ndarray) -> list[tuple[int, int, int]]:
+    """Of spans that overlap, the most probable; then the longest, then the first."""
+    free, ends, out = [], [], []  # sorted starts and ends of the spans taken
+    for _, _, (a, kind, b) in sorted((-x, s[0] - s[2], s) for x, s in zip(p.tolist(), spans) if x >= ADD_FROM):
+        k = bisect_left(ends, a + 1)
+        if k == len(free) or free[k] >= b:
+            free.insert(k, a)
+            ends.insert(k, b)
+            out.append((a, kind, b))
+    return out
+
+
 def spans_found(spans: DataFrame, model: SpanClassifier) -> DataFrame:
     """One row per document with its counts and span strings."""
     schema = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS),
@@ -285,8 +330,8 @@ def spans_found(spans: DataFrame, model: SpanClassifier) -> DataFrame:
             for doc_id, base, more in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "base", "more"))):
                 own = [(s["start"], s["kind"], s["end"]) for s in base]
                 if more:
-                    good = model.probabilities([s["pattern"] for s in more]) >= ADD_FROM
-                    more = [(s["start"], s["kind"], s["end"]) for s, g in zip(more, good) if g]
+                    more = _apart([(s["start"], s["kind"], s["end"]) for s in more],
+                                  model.probabilities([s["pattern"] for s in more]))
                 text = listed(own)
                 counts = [sum(k == x for _, x, _ in own) for k in range(len(KINDS))]
                 rows.append((doc_id, *counts, hashlib.sha256(text.encode()).hexdigest(),

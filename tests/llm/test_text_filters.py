@@ -167,6 +167,27 @@ def test_spans_added(spark):
     assert pii.spans_found(empty, pii.fit(empty)).collect() == []
 
 
+def test_neighbouring_numbers(spark):
+    lists = ["555-123-4567 555-765-4321", "(212) 555-0100 (212) 555-0101", "555-123-4567 - 555-765-4321 - 555-222-3333",
+             "2023 555-123-4567", "555-1234 555-9876 555-4321", "4111 1111 1111 1111 5500 0000 0000 0004",
+             "555.123.4567.555.765.4321", "01 23 45 67 89 01 98 76 54 32"]
+    want = [lists[0].split(), ["(212) 555-0100", "(212) 555-0101"], lists[2].split(" - "), ["555-123-4567"], lists[4].split(),
+            [lists[5][:19], lists[5][20:]], ["555.123.4567", "555.765.4321"], [lists[7][:14], lists[7][15:]]]
+    for t, numbers in zip(lists, want):
+        got = [(t[a:b], pii.KINDS[k]) for a, k, b in pii.candidates(t, pii.base_spans(t))]
+        assert {(n, "card" if "1111" in t else "phone") for n in numbers} <= set(got), t
+        assert len(got) == len(set(got)), t
+    assert {k for _, k, _ in pii.candidates("12345678901234", [])} == {pii.CARD, pii.PHONE}
+    rows = [(k, f"Please call the phone {200 + k}-555-{1000 + k} today or {k + 1}0 people come") for k in range(60)]
+    rows += [(100 + k, f"order number {10000000 + k} version {k}.2 of the page") for k in range(60)]
+    rows += [(200 + k, f"phone {t} end") for k, t in enumerate(lists[:4])]
+    spans = pii.scanned(texts(spark, rows))
+    got = {r["doc_id"]: r["spans"] for r in pii.spans_found(spans, pii.fit(spans)).collect()}
+    for k, numbers in enumerate(want[:4]):
+        t = dict(rows)[200 + k]
+        assert got[200 + k] == ",".join(f"phone:{t.index(n)}:{t.index(n) + len(n)}" for n in numbers), t
+
+
 def test_em_finds_reliable_labelers():
     import numpy as np
     r = np.random.default_rng(0)
