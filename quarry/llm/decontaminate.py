@@ -114,8 +114,8 @@ _NEWLINE = "\x00"
 _words = Words()
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Token hashes and kinds of a text's template, its raw words, which of them are the tokens, and its readings."""
+def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Token hashes and kinds of a text's readings, its raw words, and which of them are the tokens."""
     words = text.replace("\n", f" {_NEWLINE} ").split()
     n = _words.numbers(words)
     kind, flags = _words.kind[n], _words.flags[n]
@@ -127,39 +127,39 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray,
     after_number = np.zeros(len(kind), bool)
     after_number[1:] = kind[:-1] == NUMBER
     kind[after_number & (flags & 4 > 0)] = UNIT
-    read = readings(_words.hash[n], kind, flags & 10 == 2)
-    return *read[0], words, kept, read
+    return *readings(_words.hash[n], kind, flags & 10 == 2), words, kept
 
 
 def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
-    n = len(tokens) - size + 1
+    n = tokens.shape[-1] - size + 1
     if n < 1:
         return np.zeros(0, np.uint64)
     t = _mix(tokens)
-    x = np.full(n, size, np.uint64) * _STEP[-1]
+    x = np.full((*tokens.shape[:-1], n), size, np.uint64) * _STEP[-1]
     for k in range(size):
-        x += t[k:n + k] * _STEP[k]
+        x += t[..., k:n + k] * _STEP[k]
     return _mix(x)
 
 
-def readings(raw: np.ndarray, kinds: np.ndarray, capital: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Hashes and kinds of a text's tokens: as a template, with every capitalised word as a name, without names,
-    and as raw lower-cased words."""
+def readings(raw: np.ndarray, kinds: np.ndarray, capital: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and kinds of a text's tokens, a row each: as a template, with every capitalised word as a name,
+    without names, and as raw lower-cased words."""
+    out = np.zeros((4, len(kinds)), np.uint8)
+    out[0] = out[1] = out[2] = kinds
     word = (kinds == LITERAL) | (kinds == NAME)
-    named = np.where(word, np.where(capital, NAME, LITERAL), kinds)
-    return [(np.where(k == LITERAL, raw, _KIND_HASH[k]), k)
-            for k in (kinds, named, np.where(word, LITERAL, kinds), np.zeros_like(kinds))]
+    out[1, word] = np.where(capital[word], NAME, LITERAL)
+    out[2, word] = LITERAL
+    return np.where(out == LITERAL, raw, _KIND_HASH[out]), out
 
 
-def telling(read: list[tuple[np.ndarray, np.ndarray]], size: int) -> list[np.ndarray]:
+def telling(kinds: np.ndarray, size: int) -> np.ndarray:
     """Which windows of an item count in each reading: templates with enough literals, the others as raw words."""
-    enough, some, whole = [], [], len(read[0][0]) == size
-    for _, kinds in read:
-        literal = np.concatenate([[0], np.cumsum(kinds == LITERAL)])
-        n = literal[size:] - literal[:-size]
-        enough.append(2 * n >= size)
-        some.append(enough[-1] | whole & (n > 0))
-    return [some[0], enough[1], some[2], ~some[2]]
+    literal = np.zeros((4, kinds.shape[1] + 1), np.int64)
+    np.cumsum(kinds == LITERAL, axis=1, out=literal[:, 1:])
+    n = literal[:, size:] - literal[:, :-size]
+    enough = 2 * n >= size
+    some = enough | (n > 0) & (kinds.shape[1] == size)
+    return np.stack([some[0], enough[1], some[2], ~some[2]])
 
 
 def _shown(words: list[str], kinds: np.ndarray) -> tuple[str, list[str]]:
@@ -190,26 +190,26 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
         for batch in batches:
             rows = []
             for key, text in text_rows(batch, "id", "text"):
-                tokens, _, words, place, read = template(text)
-                for size in sizes or [min(WINDOW, len(tokens))]:
-                    if not 0 < size <= len(tokens):
+                tokens, kinds, words, place = template(text)
+                n = tokens.shape[1]
+                for size in sizes or [min(WINDOW, n)]:
+                    if not 0 < size <= n:
                         continue
-                    counts, before = telling(read, size) if sizes is None else None, []
-                    for r, (hashes, kinds) in enumerate(read):
-                        h = window_hashes(hashes, size)
-                        take = counts[r].copy() if counts else np.ones(len(h), bool)
-                        if bits is not None:
-                            take = bits[h >> _TOP]
-                            at = np.flatnonzero(take)
-                            take[at] = w[np.minimum(np.searchsorted(w, h[at]), len(w) - 1)] == h[at]
-                        if not take.any():
+                    h = window_hashes(tokens, size)
+                    if bits is not None:
+                        take = bits[h >> _TOP]
+                        at = np.nonzero(take)
+                        if not len(at[0]):
                             continue
-                        for other, taken in before:  # a window that an earlier reading has
-                            take &= ~((h == other) & taken)
-                        before.append((h, take))
-                        for p in np.flatnonzero(take).tolist():
-                            shown, slots = _shown([words[k] for k in place[p:p + size]], kinds[p:p + size].tolist())
-                            rows.append((key, p, size, int(h[p].view(np.int64)), len(tokens), shown, slots))
+                        take[at] = w[np.minimum(np.searchsorted(w, h[at]), len(w) - 1)] == h[at]
+                    else:
+                        take = telling(kinds, size) if sizes is None else np.ones(h.shape, bool)
+                    for r in range(len(h)):
+                        for q in range(r):  # a window that an earlier reading has
+                            take[r] &= ~((h[r] == h[q]) & take[q])
+                        for p in np.flatnonzero(take[r]).tolist():
+                            shown, slots = _shown([words[k] for k in place[p:p + size]], kinds[r, p:p + size].tolist())
+                            rows.append((key, p, size, int(h[r, p].view(np.int64)), n, shown, slots))
                 if len(rows) >= 20_000:
                     yield columns(rows, _SCHEMA)
                     rows = []
