@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import bpe, chat, decontaminate, exact_dedup, line_chunks, near_dedup, pii, planes, quality, url_filter
+from quarry.llm import (bpe, chat, conversation_repair, decontaminate, exact_dedup, line_chunks, merkle, near_dedup, pii,
+                        planes, quality, url_filter, warc)
+from quarry.session import scratch_path
 from quarry.sources.tables import load_table
 
 
@@ -61,6 +64,25 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(load_table(spark, sf_dir, "pages"), url_filter.RULES)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired(load_table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(load_table(spark, sf_dir, "documents"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load_table(spark, sf_dir, "pages")
+    arcs = scratch_path(spark, "arc")
+    older = F.coalesce(F.crc32(F.col("page_id").cast("string")) % 2 == 0, F.lit(False))
+    warc.write_arc(pages.where(older), f"{arcs}/v1", version=1)
+    warc.write_arc(pages.where(~older), f"{arcs}/v2", version=2)
+    archive = scratch_path(spark, "warc")
+    warc.convert(spark, [f"{arcs}/v1", f"{arcs}/v2"], archive)
+    return warc.resolved(warc.read_warc(spark, archive))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_line_chunks": op2_line_chunks,
@@ -72,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_merkle": op12_merkle,
+    "op13_warc": op13_warc,
 }
 
 ORACLE: dict[str, str] = {
@@ -79,4 +104,7 @@ ORACLE: dict[str, str] = {
     "op6_near_dedup": near_dedup.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_url_filter": url_filter.SQL,
+    "op11_conversation_repair": conversation_repair.SQL,
+    "op12_merkle": merkle.SQL,
+    "op13_warc": warc.SQL,
 }
