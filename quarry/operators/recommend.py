@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.exprs import rmse_expr
+from quarry.operators.als_steps import RatingBlocks, agree, iterated
 from quarry.operators.ids import dense_index
 from quarry.session import saved
 
@@ -170,38 +171,47 @@ def als_solved(train: DataFrame, user: str = "userId", item: str = "itemId", rat
                seed: int = 123, tolerance: float = 1e-3, **params) -> DataFrame:
     """``(user, solved)``: whether the fitted user factors solve their equations.
 
-    ALS ends with the users' step, so each user's factors x minimise
-    ``Σ (x·y − r)² + λ·n·|x|²`` over the user's n ratings with the fitted item
-    factors y: the gradient ``Σ (x·y − r)·y + λ·n·x`` is 0 up to the factors'
-    single precision. The check is relative to ``Σ |r|·|y|``.
+    ALS ends with the users' step, so each user's factors solve the normal equations of the user's
+    ratings with the fitted item factors, up to the factors' single precision. The
+    equations are summed anew, block by block (:mod:`quarry.operators.als_steps`).
     """
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-
-    tr, _, u, i = _as_int_ids(train, train.limit(0), user, item)
-    tr = saved(tr.select(user, u, i, rating) if u != user else tr.select(u, i, rating), "als-train")
+    tr, names, u, i = _numbered(train, user, item, rating)
     als = _als(u, i, rating, seed, **params)
     model = als.fit(tr)
+    blocks = RatingBlocks(tr, u, i, rating)
+    same = agree(model.userFactors, blocks.solved(model.itemFactors, als.getRegParam()), tolerance)
+    return names[u].join(same, F.col(u) == F.col("id")).select(user, F.col("agrees").alias("solved"))
 
-    def doubles(c):
-        return F.col(c).cast("array<double>")
 
-    x = model.userFactors.select(F.col("id").alias(u), doubles("features").alias("x"))
-    y = model.itemFactors.select(F.col("id").alias(i), doubles("features").alias("y"))
+def _numbered(train: DataFrame, user: str, item: str, rating: str):
+    """The ratings with INT ids, written once; per id column the ids it stands for; and the two id columns."""
+    tr, _, u, i = _as_int_ids(train, train.limit(0), user, item)
+    tr = saved(tr.select(*dict.fromkeys([user, u, item, i, rating])), "als-train")
+    names = {n: tr.select(*dict.fromkeys([c, n])).distinct() for c, n in ((user, u), (item, i))}
+    return tr, names, u, i
 
-    def dot(a, b):
-        return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
 
-    r = F.col(rating).cast("double")
-    error = dot(F.col("x"), F.col("y")) - r
-    rows = tr.join(x, u).join(y, i).select(
-        user, "x", array_to_vector(F.transform("y", lambda v: v * error)).alias("g"),
-        (F.abs(r) * F.sqrt(dot(F.col("y"), F.col("y")))).alias("size"))
-    sums = rows.groupBy(user).agg(F.first("x").alias("x"), F.count("*").alias("n"),
-                                  F.sum("size").alias("size"), Summarizer.sum(F.col("g")).alias("g"))
-    gradient = F.zip_with(vector_to_array("g"), F.col("x"), lambda g, v: g + v * (F.col("n") * als.getRegParam()))
-    worst = F.aggregate(gradient, F.lit(0.0), lambda s, v: F.greatest(s, F.abs(v)))
-    return sums.select(user, (worst <= tolerance * (F.col("size") + 1)).alias("solved"))
+def als_steps(train: DataFrame, user: str = "userId", item: str = "itemId", rating: str = "rating",
+              seed: int = 123, tolerance: float = 2e-2, **params) -> DataFrame:
+    """``(kind, id, rank, agrees)`` for every user and item: the whole fit, checked against half-steps of our own.
+
+    The fit with no iterations returns the factors that the model starts from. From there both half-steps
+    are taken as often as the fit iterates; the model's factors must come out, with its rank. A fit
+    with another number of iterations, rank or regularisation, or with a wrong step on either side, does not agree.
+    Both sides keep factors in single precision, whose rounding grows from step to step: hence the tolerance.
+    """
+    tr, names, u, i = _numbered(train, user, item, rating)
+    als = _als(u, i, rating, seed, **params)
+    model = als.fit(tr)
+    start = _als(u, i, rating, seed, **{**params, "maxIter": 0}).fit(tr)
+    users, items = iterated(tr, u, i, rating, start.userFactors, als.getRegParam(), als.getMaxIter())
+    out = None
+    for kind, name, n, found, wanted in (("user", user, u, model.userFactors, users),
+                                         ("item", item, i, model.itemFactors, items)):
+        side = names[n].join(agree(found, wanted, tolerance), F.col(n) == F.col("id")).select(
+            F.lit(kind).alias("kind"), F.col(name).cast("long").alias("id"), "rank", "agrees")
+        out = side if out is None else out.union(side)
+    return out
 
 
 def als_bias_solved(train: DataFrame, user: str = "userId", item: str = "itemId", rating: str = "rating",
@@ -209,3 +219,10 @@ def als_bias_solved(train: DataFrame, user: str = "userId", item: str = "itemId"
     """:func:`als_solved` for the fit on the user-item interaction."""
     inter = bias_interaction(train, user, item, rating, ordered=False)
     return als_solved(inter, user, item, "user_item_interaction", seed, **params)
+
+
+def als_bias_steps(train: DataFrame, user: str = "userId", item: str = "itemId", rating: str = "rating",
+                   seed: int = 123, **params) -> DataFrame:
+    """:func:`als_steps` for the fit on the user-item interaction."""
+    inter = bias_interaction(train, user, item, rating, ordered=False)
+    return als_steps(inter, user, item, "user_item_interaction", seed, **params)

@@ -29,7 +29,7 @@ from quarry.operators import cluster as M
 from quarry.operators import itemsets as FI
 from quarry.operators import recommend as R
 from quarry.operators import tabular
-from quarry.operators.ids import contiguous_id, first_n_with_id
+from quarry.operators.ids import first_n_with_id
 from quarry.operators.split import hash_split, random_split, sample_keys
 from quarry.session import saved
 from quarry.sources.dimensions import entity_dimension
@@ -119,10 +119,12 @@ def ratings_als_bias_rmse(spark, path, seed, method="hash", **als_params):
 # --------------------------------------------------------------- baskets ---
 
 def read_basket_file(spark: SparkSession, path: str) -> DataFrame:
-    """(id, plant, items): contiguous 0-based line ids in file order."""
-    b = S.read_ragged_baskets(spark, path, key_col="plant", items_col="items",
-                              keep_line_order=True)
-    return contiguous_id(b, S.text.LINE_ORDER, "id").select("id", "plant", "items")
+    """(id, plant, items): contiguous 0-based line ids in file order.
+
+    The lines stay where the scan reads them; only the splits' line counts move.
+    """
+    b = S.read_ragged_baskets(spark, path, key_col="plant", items_col="items", keep_line_order=True)
+    return S.with_line_ids(b, "id").select("id", "plant", "items")
 
 
 def basket_file_table(spark, path, n=None):

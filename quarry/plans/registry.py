@@ -85,6 +85,7 @@ def q_contiguous_id(spark, d):
 from quarry import sources as S  # noqa: E402
 from quarry.functions.exprs import csv_line, hash_bucket, joined, rmse_expr  # noqa: E402
 from quarry.operators import cluster as M  # noqa: E402
+from quarry.operators import dense as D  # noqa: E402
 from quarry.operators import itemsets as FI  # noqa: E402
 from quarry.operators import recommend as R  # noqa: E402
 from quarry.operators import split as SP  # noqa: E402
@@ -104,10 +105,66 @@ def q_src_header_csv(spark, d):
 def q_src_delimited_records(spark, d):
     path = scratch_path(spark, "ratings-records")
     S.write_delimited_records(V.rating_records(spark, d), path, "::")
-    fields = [("userId", "int"), ("itemId", "int"), ("rating", "int"), ("timestamp", "bigint")]
+    fields = [("userId", "bigint"), ("itemId", "bigint"), ("rating", "int"), ("timestamp", "bigint")]
     return S.read_delimited_records(spark, path, fields, "::", mode="fail")
 
 
+# Rating records with damage by their ids: a rating that is no number, a user id beyond 64 bits, a missing field.
+_DAMAGED = ("SELECT *, CASE WHEN userId % 11 = 0 THEN CAST(userId AS VARCHAR) || '::' || CAST(itemId AS VARCHAR) "
+            "WHEN itemId % 13 = 0 THEN '99999999999999999999::' || CAST(itemId AS VARCHAR) || '::' || CAST(rating AS VARCHAR) "
+            "|| '::' || CAST(timestamp AS VARCHAR) WHEN userId % 7 = 0 THEN CAST(userId AS VARCHAR) || '::' || "
+            "CAST(itemId AS VARCHAR) || '::x::' || CAST(timestamp AS VARCHAR) END AS line, "
+            "CASE WHEN userId % 11 = 0 THEN 'too few fields' WHEN itemId % 13 = 0 THEN 'out of range' "
+            "WHEN userId % 7 = 0 THEN 'not a value' END AS reason, CASE WHEN userId % 11 = 0 THEN NULL "
+            "WHEN itemId % 13 = 0 THEN 'userId' WHEN userId % 7 = 0 THEN 'rating' END AS field FROM rating_records")
+_RECORD_FIELDS = [("userId", "bigint"), ("itemId", "bigint"), ("rating", "int"), ("timestamp", "bigint")]
+
+
+def _parsed_damaged(spark, d):
+    text = {n: F.col(n).cast("string") for n, _ in _RECORD_FIELDS}
+    r = V.rating_records(spark, d)
+    short, far, wrong = (F.col("userId") % 11 == 0, F.col("itemId") % 13 == 0, F.col("userId") % 7 == 0)
+    line = (F.when(short, F.concat_ws("::", text["userId"], text["itemId"]))
+            .when(far, F.concat_ws("::", F.lit("9" * 20), text["itemId"], text["rating"], text["timestamp"]))
+            .when(wrong, F.concat_ws("::", text["userId"], text["itemId"], F.lit("x"), text["timestamp"]))
+            .otherwise(F.concat_ws("::", *text.values())))
+    path = scratch_path(spark, "damaged-records")
+    r.select(line.alias("value")).write.text(path)
+    return S.parse_delimited_records(spark, path, _RECORD_FIELDS)
+
+
+@register("src_records_rejects", V.with_views(
+    f"SELECT CASE WHEN reason IS NULL THEN userId END AS userId, CASE WHEN reason IS NULL THEN itemId END AS itemId, "
+    "CASE WHEN reason IS NULL THEN rating END AS rating, CASE WHEN reason IS NULL THEN timestamp END AS timestamp, "
+    f"line, reason, field FROM ({_DAMAGED})", "rating_records"))
+def q_src_records_rejects(spark, d):
+    parsed = _parsed_damaged(spark, d)
+    return parsed.good.unionByName(parsed.rejects.drop("file"), allowMissingColumns=True)
+
+
+@register("src_records_counts", V.with_views(
+    f"SELECT coalesce(reason, 'good') AS outcome, count(*) AS observed, count(*) AS found FROM ({_DAMAGED}) "
+    "GROUP BY reason", "rating_records"))
+def q_src_records_counts(spark, d):
+    parsed = _parsed_damaged(spark, d)
+    found = parsed.good.select(F.lit("good").alias("outcome")).union(parsed.rejects.select("reason"))
+    # four numbers, from the same job that wrote the rows
+    seen = F.create_map(*(F.lit(x) for pair in parsed.counts.items() for x in pair))
+    return found.groupBy("outcome").agg(F.count(F.lit(1)).alias("found")).select(
+        "outcome", seen[F.col("outcome")].cast("long").alias("observed"), "found")
+
+
+@register("src_line_ids", V.with_views(
+    "SELECT CAST(row_number() OVER (ORDER BY b) - 1 AS BIGINT) AS id, CAST(b AS VARCHAR) AS key, items FROM "
+    "(SELECT b, string_agg(i, ',' ORDER BY i) AS items FROM basket GROUP BY b)", "basket"))
+def q_src_line_ids(spark, d):
+    path = scratch_path(spark, "baskets-ordered")
+    b = FI.baskets_from_pairs(V.basket_pairs(spark, d), "b", "i")
+    S.write_ragged_baskets(b.orderBy("b"), "b", "items", path)  # the files' lines are in the order of b
+    lines = S.read_ragged_baskets(spark, path, keep_line_order=True)
+    return S.with_line_ids(lines, "id").select("id", "key", F.array_join("items", ",").alias("items"))
+
+
 @register("src_ragged_baskets", V.with_views(
     "SELECT CAST(b AS VARCHAR) AS key, string_agg(i, ',' ORDER BY i) AS items FROM basket GROUP BY b",
     "basket"))
@@ -285,8 +342,23 @@ def q_als_bias_solved(spark, d):
     "AND itemId IN (SELECT itemId FROM seen_train)", "seen_train", "unseen_test"))
 def q_als_coverage(spark, d):
     train, test = V.unseen_split(spark, d)
-    # the count does not depend on the factors' quality: a small model is enough
-    return tabular.row_count(R.als_predictions(train, test, seed=V.SPLIT_SEED, rank=4, maxIter=1))
+    return tabular.row_count(R.als_predictions(train, test, seed=V.SPLIT_SEED))
+
+
+_STEPS = ("SELECT 'user' AS kind, userId AS id, 70 AS rank, true AS agrees FROM (SELECT DISTINCT userId FROM train) "
+          "UNION ALL SELECT 'item', itemId, 70, true FROM (SELECT DISTINCT itemId FROM train)")
+
+
+@register("als_steps", V.with_views(_STEPS, "train"))
+def q_als_steps(spark, d):
+    train, _ = V.train_test(spark, d, reuse=True)
+    return R.als_steps(train, seed=V.SPLIT_SEED)
+
+
+@register("als_bias_steps", V.with_views(_STEPS, "train"))
+def q_als_bias_steps(spark, d):
+    train, _ = V.train_test(spark, d, reuse=True)
+    return R.als_bias_steps(train, seed=V.SPLIT_SEED)
 
 
 # ------------------------------------------------------ frequent itemsets ---
@@ -467,3 +539,14 @@ KMEANS_K, ORACLE_PASSES = 5, 60
     "inc2", KMEANS_K, ORACLE_PASSES, "SELECT entity, cluster, d2_scaled, true AS converged FROM {A}"))
 def q_kmeans(spark, d):
     return M.kmeans(V.inc2(spark, d), KMEANS_K, SEED)
+
+
+# -------------------------------------------------------- dense vectors ---
+
+DENSE_K = 8
+
+
+@register("kmeans_dense", "SELECT vec_id, true AS nearest, true AS centred FROM embeddings")
+def q_kmeans_dense(spark, d):
+    vectors = load_table(spark, d, "embeddings")
+    return D.fixpoint_checks(D.kmeans_dense(vectors, DENSE_K, SEED, "vec_id", "embedding"), "vec_id")

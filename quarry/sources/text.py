@@ -11,11 +11,14 @@ comes from the file metadata columns, never from a driver-side ``zip``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.exprs import csv_line
+from quarry.session import saved, scratch_path
 
 
 def _literal_pattern(sep: str) -> str:
@@ -64,6 +67,36 @@ def _with_line_order(df: DataFrame) -> DataFrame:
 
 LINE_ORDER = ["_file", "_block", "_pos"]
 
+#: Splits whose line offsets are broadcast (some 50 bytes each); a larger table takes the shuffled way.
+BROADCAST_SPLITS = 1_000_000
+
+
+def with_line_ids(lines: DataFrame, id_col: str = "id", broadcast_splits: int = BROADCAST_SPLITS) -> DataFrame:
+    """Contiguous 0-based ids in file order for rows with the columns of ``LINE_ORDER``; the rows do not move.
+
+    A file's lines are already in order inside a split, so only the splits are counted
+    (one narrow row each) and their counts summed up in file order. A line's id is its split's
+    offset plus its place in the split. The offsets are broadcast where their table has
+    at most ``broadcast_splits`` rows, else joined. The scan deals splits to partitions in the
+    same way both times; if it ever did not, the job fails instead of numbering wrongly.
+
+    ``lines`` must come from a scan without a shuffle; a filter of lines belongs after the ids.
+    """
+    part = F.shiftright("_pos", 33)
+    counts = lines.select(*LINE_ORDER).groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"), F.max(part).alias("_last"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per split of 128 MB or more: a window over all of them is a small task
+    offsets = saved(counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn(
+        "_whole", F.shiftright("_first", 33) == F.col("_last")), "line-offsets")
+    small = offsets.limit(broadcast_splits + 1).count() <= broadcast_splits
+    joined = lines.join(F.broadcast(offsets) if small else offsets, ["_file", "_block"], "left")
+    place = F.col("_pos") - F.col("_first")
+    sound = F.coalesce(F.col("_whole") & (place >= 0) & (place < F.col("_n")), F.lit(False))
+    ident = F.when(sound, F.col("_off") + place).otherwise(
+        F.raise_error(F.lit("the splits of the files were dealt out anew between two scans")).cast("long"))
+    return joined.withColumn(id_col, ident.cast("long")).drop(*LINE_ORDER, "_n", "_first", "_last", "_off", "_whole")
+
 
 def read_delimited_records(spark: SparkSession, path: str, fields: list[tuple[str, object]],
                            sep: str = "::", mode: str = "fail") -> DataFrame:
@@ -98,6 +131,58 @@ def read_delimited_records(spark: SparkSession, path: str, fields: list[tuple[st
     return lines.select(*typed)
 
 
+@dataclass
+class ParsedRecords:
+    """What one pass over record files gave: typed rows, rejected lines, and how many of each.
+
+    ``rejects`` has ``line``, ``reason``, ``field`` (the first field that failed, null for a short line) and ``file``;
+    ``counts`` the number of good rows under ``good`` and of rejected lines under their reasons.
+    """
+    good: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+SHORT, NOT_A_VALUE, OUT_OF_RANGE = "too few fields", "not a value", "out of range"
+
+
+def parse_delimited_records(spark: SparkSession, path: str, fields: list[tuple[str, object]],
+                            sep: str = "::") -> ParsedRecords:
+    """Records as :func:`read_delimited_records` reads them, with the lines that do not fit beside them.
+
+    The files are parsed once: good and rejected rows are written to one table that is partitioned by
+    the outcome, and the counts are observed in the same job. A line is rejected for having too few
+    fields, for the first value that is none of its type, or (whole numbers) for one that its type cannot hold.
+    """
+    line = F.col("value")
+    parts = F.split(line, _literal_pattern(sep), -1)
+    typed, reason, field = [], F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, (name, t) in reversed(list(enumerate(fields))):
+        dt, raw = _as_type(t), F.get(parts, F.lit(i))
+        value = raw if isinstance(dt, T.StringType) else raw.try_cast(dt)
+        typed.insert(0, value.alias(name))
+        if not isinstance(dt, T.StringType):
+            whole = F.trim(raw).rlike("^[+-]?[0-9]+$") if isinstance(dt, T.IntegralType) else F.lit(False)
+            reason = F.when(value.isNull(), F.when(whole, OUT_OF_RANGE).otherwise(NOT_A_VALUE)).otherwise(reason)
+            field = F.when(value.isNull(), F.lit(name)).otherwise(field)
+    short = F.size(parts) < len(fields)
+    reason = F.when(short, SHORT).otherwise(reason)
+    rows = spark.read.text(path).select(
+        F.struct(*typed).alias("record"), reason.alias("reason"), F.when(~short, field).alias("field"),
+        F.when(reason.isNotNull(), line).alias("line"),
+        F.when(reason.isNotNull(), F.col("_metadata.file_path")).alias("file"),
+        reason.isNotNull().alias("rejected"))
+    seen = Observation("parsed records")
+    names = [SHORT, NOT_A_VALUE, OUT_OF_RANGE]
+    rows = rows.observe(seen, F.count_if(~F.col("rejected")).alias("good"),
+                        *(F.count_if(F.col("reason") == r).alias(r) for r in names))
+    schema, table = rows.schema, scratch_path(spark, "parsed-records")
+    rows.write.option("compression", "zstd").partitionBy("rejected").parquet(table)
+    parsed = spark.read.schema(schema).parquet(table)
+    return ParsedRecords(parsed.where("not rejected").select("record.*"),
+                         parsed.where("rejected").select("line", "reason", "field", "file"), dict(seen.get))
+
+
 def write_delimited_records(df: DataFrame, path: str, sep: str = "::") -> None:
     cols = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
     df.select(F.concat_ws(sep, *cols).alias("value")).write.text(path)
