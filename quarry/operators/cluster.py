@@ -20,7 +20,9 @@ norm), never by an entity × centroid cross product.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.ids import contiguous_id
@@ -204,37 +206,159 @@ def cluster_members(assignment: DataFrame, entity_col: str = "entity",
     return contiguous_id(assignment, [entity_col], rank_col, group_cols=["cluster"])
 
 
+# Bounds of the k-means passes are distances (not squared) in units of 1/1024 hundredth, rounded
+# outwards to whole numbers, so that sums of bounds and drifts stay exact and safe.
+_GRAIN = 1024
+
+
+#: Up to so many clusters the sums of all of them are columns of one row per entity; beyond, rows per (entity, cluster).
+WIDE = 64
+
+
+# The passes' expressions are SQL text: they are rebuilt in every pass, and one text is one call to the JVM. Numbers that
+# change from pass to pass stand in literal arrays, so the generated code is the same and compiled once.
+
+def _numbers(values) -> str:
+    return "array(" + ", ".join(f"{v}L" for v in values) + ")"
+
+
+def _above_sql(squared: str) -> str:
+    return f"cast(ceil(sqrt(cast({squared} AS double)) * {_GRAIN}) + 1 AS bigint)"
+
+
+def _below_sql(squared: str) -> str:
+    return f"cast(floor(sqrt(cast({squared} AS double)) * {_GRAIN}) - 1 AS bigint)"
+
+
+_CANDIDATES = "array<struct<score:bigint,cluster:int>>"
+
+
+def _candidate(score: str, cluster: str) -> str:
+    return f"named_struct('score', cast({score} AS bigint), 'cluster', cast({cluster} AS int))"
+
+
+def _two_nearest(held: DataFrame, joined: DataFrame, norms: list[int], entity_col: str) -> DataFrame:
+    """``held`` with ``cands``: the smallest (score, cluster) among centroids that share a feature with the entity.
+
+    ``joined(entity, _c, _w)`` are the weights that the entity's features meet. Up to ``WIDE`` clusters
+    one aggregate gives all sums and carries the held row along: one shuffle of partially summed rows.
+    """
+    k, kept = len(norms), [c for c in held.columns if c != entity_col]
+    if k <= WIDE:
+        sums = ", ".join(f"sum(if(_c = {c}, _w, null))" for c in range(k))
+        rows = held.unionByName(joined, allowMissingColumns=True).groupBy(entity_col).agg(
+            *(F.expr(f"max({c}) AS {c}") for c in kept), F.expr(f"array({sums}) AS _dots"))
+        at = _candidate(f"get({_numbers(norms)}, c) - {2 * UNIT} * dot", "c")
+        return rows.withColumn("cands", F.expr(
+            f"filter(transform(_dots, (dot, c) -> if(dot is null, null, {at})), x -> x is not null)")).drop("_dots")
+    dots = joined.groupBy(entity_col, "_c").agg(F.expr("sum(_w) AS dot"))
+    scored = dots.select(entity_col, F.expr(_candidate(f"get({_numbers(norms)}, _c) - {2 * UNIT} * dot", "_c") + " AS at"))
+    order = Window.partitionBy(entity_col).orderBy("at")  # at most k rows an entity
+    two = scored.withColumn("_r", F.row_number().over(order)).where("_r <= 2").groupBy(entity_col).agg(
+        F.collect_list("at").alias("cands"))
+    return held.join(two, entity_col, "left")
+
+
 def kmeans(incidence: DataFrame, k: int, seed: int, max_iter: int | None = None,
            entities: DataFrame | None = None, entity_col: str = "entity",
-           feature_col: str = "feature", return_weights: bool = False):
+           feature_col: str = "feature", return_weights: bool = False, passes: list | None = None):
     """Lloyd's k-means from k sampled entities until no entity changes cluster.
 
     Returns (entity, cluster, d2_scaled, converged). ``converged`` is true for
     every row, unless the caller's ``max_iter`` centroid updates were used up
     first, or the rounded centroids came back to an assignment they had before
-    without standing still (then no further pass can change that). Each pass
-    is written to the shared folder, and the pass before it is deleted.
+    without standing still (then no further pass can change that).
+
+    A pass joins only entities that may move with the centroids. Each entity carries an upper bound of the
+    distance to its centroid and a lower bound of the distance to all others; a pass loosens them by how far
+    the centroids moved, and while upper < lower no other centroid can be as near (ties included). Member
+    counts per feature are kept, and only the features of entities that moved change them. Bounds
+    are whole numbers rounded outwards, so the result is that of unpruned passes, value for value. A pass
+    writes two tables and deletes those before it; what the loop must know (k norms, drifts and sizes, whether
+    an entity moved) is observed while they are written. ``passes`` collects (entities that moved,
+    entities that were joined) per pass.
     """
-    inc, counts, clusters, weights, current = first_assignment(
-        incidence, k, seed, entities, entity_col, feature_col)
-
-    def signature(a):
-        pair = F.xxhash64(entity_col, "cluster")
-        return tuple(a.agg(F.bit_xor(pair), F.sum(pair.cast("decimal(38,0)"))).first())
-
-    seen, converged, passes = {signature(current)}, False, 0
-    while not converged and (max_iter is None or passes < max_iter):
-        passes += 1
-        new_weights = saved(update_centroids(inc, current, weights, entity_col, feature_col), "kmeans-weights")
-        prev = current.select(entity_col, F.col("cluster").alias("_prev"))
-        nxt = saved(assign(inc, counts, clusters, new_weights, k, entity_col, feature_col), "kmeans-assignment")
-        converged = nxt.join(prev, entity_col).where("cluster <> _prev").isEmpty()
-        forget(current, weights)
-        current, weights = nxt, new_weights
-        now = signature(current)
-        if not converged and now in seen:
+    inc = saved(incidence.select(entity_col, feature_col).distinct(), "kmeans-incidence")
+    counts = saved(feature_counts(inc, entities, entity_col), "kmeans-counts")
+    clusters, weights = initial_centroids(inc, counts, k, seed, entity_col, feature_col)
+    k = clusters.count()  # fewer where there are fewer entities
+
+    def written(df: DataFrame, name: str, totals: dict[str, str], sums: dict[str, str]):
+        """The written table; ``totals`` over all its rows; ``sums`` of whole numbers, one list by cluster each."""
+        seen = Observation()
+        wide = {f"{n}{c}": f"sum(if(cluster = {c}, {x}, null))" for n, x in sums.items() for c in range(k)} if k <= WIDE else {}
+        table = saved(df.observe(seen, F.count(F.lit(1)).alias("rows"),
+                                 *(F.expr(f"{x} AS {n}") for n, x in {**totals, **wide}.items())), name)
+        found = seen.get
+        if wide:
+            by = {n: [found[f"{n}{c}"] or 0 for c in range(k)] for n in sums}
+        else:
+            rows = {r["cluster"]: r for r in table.groupBy("cluster").agg(*(F.expr(f"sum({x}) AS {n}") for n, x in sums.items())).collect()}
+            by = {n: [rows[c][n] or 0 if c in rows else 0 for c in range(k)] for n in sums}
+        return table, found, by
+
+    name = f"`{entity_col}`"
+    unknown = "cast(null AS bigint)"
+
+    def state_of(held: DataFrame, w: DataFrame, norms: list[int]):
+        """``held(entity, n, was, upper, lower, fresh)`` with its cluster; only ``fresh`` entities are joined and get new bounds."""
+        joined = inc.join(held.where("fresh").select(entity_col), entity_col).join(
+            w.selectExpr(f"`{feature_col}`", "cluster AS _c", "w AS _w"), feature_col).select(entity_col, "_c", "_w")
+        # a centroid that an entity shares no feature with scores its bare norm: the two smallest stand for all
+        low = "array(" + ", ".join(_candidate(f"{v}L", str(c)) for v, c in sorted((v, c) for c, v in enumerate(norms))[:2]) + ")"
+        near = _two_nearest(held, joined, norms, entity_col).selectExpr(
+            "*", f"concat(coalesce(cands, cast(array() AS {_CANDIDATES})), {low}) AS _all")
+        near = near.selectExpr("*", "array_min(_all) AS _near", "array_min(filter(_all, x -> x.cluster <> array_min(_all).cluster)) AS _next")
+        out = near.selectExpr(
+            name, "n", "if(fresh, _near.cluster, was) AS cluster", "was",
+            f"if(fresh, {_above_sql(f'{SCALE} * n + _near.score')}, upper) AS upper",
+            f"if(fresh, {_below_sql(f'{SCALE} * n + _next.score')}, lower) AS lower", "fresh")
+        table, found, by = written(out, "kmeans-state", {
+            "mark": f"bit_xor(xxhash64({name}, cluster))", "sum": f"sum(cast(xxhash64({name}, cluster) AS decimal(38,0)))",
+            "moved": "count_if(cluster <> was)", "joined": "count_if(fresh)"}, {"size": "1L"})
+        if passes is not None:
+            passes.append((found["moved"], found["joined"]))
+        return table, found["moved"], (found["mark"], found["sum"]), by["size"]
+
+    if not k:
+        weights = saved(weights, "kmeans-weights")
+        out = counts.selectExpr(name, "cast(null AS int) AS cluster", f"{unknown} AS d2_scaled", "true AS converged")
+        return (out, weights) if return_weights else out
+    # cluster, feature, s members with the feature, weight w
+    table, _, by = written(weights.select("cluster", feature_col, F.lit(0).cast("long").alias("s"), "w"), "kmeans-centroids",
+                           {}, {"norm": "w * w"})
+    state, _, mark, sizes = state_of(counts.selectExpr(
+        name, "n", "-1 AS was", f"{unknown} AS upper", f"{unknown} AS lower", "true AS fresh"), table, by["norm"])
+    seen, converged, done = {mark}, False, 0
+    while not converged and (max_iter is None or done < max_iter):
+        done += 1
+        # centroids: member counts change by the features of entities that moved
+        movers = state.where("cluster <> was").selectExpr(
+            name, "inline(array(struct(cluster, 1L AS s), struct(was AS cluster, -1L AS s)))").where("cluster >= 0")
+        change = inc.join(movers, entity_col).selectExpr("cluster", f"`{feature_col}`", "s", f"{unknown} AS w")
+        new = table.select("cluster", feature_col, "s", "w").union(change).groupBy("cluster", feature_col).agg(
+            F.expr("sum(s) AS s"), F.expr("coalesce(max(w), 0L) AS w0"))
+        new = new.selectExpr("*", f"get({_numbers(sizes)}, cluster) AS c").selectExpr(
+            "cluster", f"`{feature_col}`", "s", f"if(c = 0, w0, ({2 * UNIT} * s + c) div (2 * greatest(c, 1L))) AS w", "w0")
+        new, _, by = written(new.where("s > 0 or w > 0 or w0 > 0"), "kmeans-centroids", {},
+                             {"norm": "w * w", "gap": "(w - w0) * (w - w0)"})
+        drift = [math.ceil(math.sqrt(g) * _GRAIN) + 1 if g else 0 for g in by["gap"]]
+        top = sorted(((v, c) for c, v in enumerate(drift)), reverse=True)[:2]
+        other = [next((v for v, o in top if o != c), 0) for c in range(k)]
+        held = state.selectExpr(name, "n", "cluster AS was", f"upper + get({_numbers(drift)}, cluster) AS upper",
+                                f"lower - get({_numbers(other)}, cluster) AS lower").selectExpr(
+            "*", "coalesce(upper >= lower, false) AS fresh")
+        nxt, moved, mark, sizes = state_of(held, new.where("w > 0"), by["norm"])
+        forget(state, table)
+        state, table, converged = nxt, new, not moved
+        if not converged and mark in seen:
             break
-        seen.add(now)
-    forget(inc, counts)
-    out = current.withColumn("converged", F.lit(converged))
+        seen.add(mark)
+    weights = table.where("w > 0").select("cluster", feature_col, "w")
+    # exact distances, to each entity's own centroid only
+    own = inc.join(state.select(entity_col, "cluster"), entity_col).join(weights, ["cluster", feature_col])
+    dots = own.groupBy(entity_col).agg(F.sum("w").alias("dot"))
+    out = state.join(dots, entity_col, "left").selectExpr(
+        name, "cluster", f"{SCALE} * n + get({_numbers(by['norm'])}, cluster) - {2 * UNIT} * coalesce(dot, 0L) AS d2_scaled",
+        f"{str(converged).lower()} AS converged")
     return (out, weights) if return_weights else out
