@@ -113,3 +113,27 @@ def joined(c, sep: str = ",", sort: bool = True) -> Column:
     c = _col(c)
     arr = F.array_sort(c) if sort else c
     return F.array_join(F.transform(arr, lambda x: x.cast("string")), sep)
+
+
+# Sums that do not depend on the order of their terms: each term becomes a whole number of 2^-bits (floor, as
+# exact as the term up to there), and whole numbers are added as decimals. n terms are off by less than n * 2^-bits.
+EXACT_BITS = 40
+
+
+def exact_sum(c: Column, bits: int = EXACT_BITS) -> Column:
+    """Order-free sum (an aggregate) of numbers below ``2^(63 - bits)``; larger ones raise. Nulls are left out."""
+    scaled = F.floor(c.cast("double") * float(1 << bits))
+    whole = F.when(F.abs(c.cast("double")) < float(1 << (63 - bits)), scaled.cast("decimal(20,0)")).when(
+        c.isNotNull(), F.raise_error(F.lit(f"exact_sum: a term is not below 2^{63 - bits}")).cast("decimal(20,0)"))
+    return F.sum(whole).cast("double") / F.lit(float(1 << bits))
+
+
+def exact_avg(c: Column, bits: int = EXACT_BITS) -> Column:
+    """Order-free mean: the same bits on any number of partitions."""
+    return exact_sum(c, bits) / F.count(c)
+
+
+def exact_rmse(prediction: str, label: str, bits: int = EXACT_BITS) -> Column:
+    """RMSE of two columns by an order-free sum of the squared differences."""
+    gap = F.col(prediction).cast("double") - F.col(label).cast("double")
+    return F.sqrt(exact_avg(gap * gap, bits))

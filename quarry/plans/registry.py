@@ -83,7 +83,8 @@ def q_contiguous_id(spark, d):
 # --------------------------------------------------------- sources, sinks ---
 
 from quarry import sources as S  # noqa: E402
-from quarry.functions.exprs import csv_line, hash_bucket, joined, rmse_expr  # noqa: E402
+from quarry.functions.exprs import csv_line, exact_avg, exact_rmse, hash_bucket, joined, rmse_expr  # noqa: E402
+from quarry.operators import bitmaps as B  # noqa: E402
 from quarry.operators import cluster as M  # noqa: E402
 from quarry.operators import dense as D  # noqa: E402
 from quarry.operators import itemsets as FI  # noqa: E402
@@ -91,6 +92,7 @@ from quarry.operators import recommend as R  # noqa: E402
 from quarry.operators import split as SP  # noqa: E402
 from quarry.plans import oracle_sql as OS  # noqa: E402
 from quarry.session import materialize, saved, scratch_path  # noqa: E402
+from quarry.sources.dimensions import STATE_CODES, entity_dimension  # noqa: E402
 
 
 @register("src_header_csv", "SELECT * FROM supplier")
@@ -185,25 +187,71 @@ def q_csv_lines(spark, d):
 
 
 @register("csv_lines_typed", (
-    "WITH q AS (SELECT r_regionkey AS k, chr(39) AS a, r_name FROM region) "
-    "SELECT '[' || k || ', ' || (k + 1) || ', None],[' || a || r_name || a || ', None, \"l' || a || 'eau\", ' "
+    "WITH q AS (SELECT l_orderkey AS k, chr(39) AS a, l_returnflag AS f, CAST(trunc(l_quantity) AS BIGINT) AS n FROM lineitem) "
+    "SELECT '[' || k || ', ' || (k + 1) || ', None],[' || a || f || a || ', None, \"l' || a || 'eau\", ' "
     "|| a || 'a' || chr(92) || chr(92) || 'b' || chr(92) || 'n' || a || '],' "
-    "|| CASE k WHEN 0 THEN '0.0,0.0,0.0' ELSE k || '0000000000.0,' || k || 'e-05,' || k || '.5e+20' END "
-    "|| ',[' || k || '.5, None],None,' || CASE WHEN k > 2 THEN 'True' ELSE 'False' END || ',[]' AS line FROM q"))
+    "|| n || '0000000000.0,' || CASE WHEN n % 10 = 0 THEN CASE n WHEN 0 THEN '0.0' ELSE '0.000' || (n // 10) END ELSE "
+    "CASE WHEN n < 10 THEN n || 'e-05' ELSE '0.000' || n END END || ',' || CASE WHEN n = 0 THEN '0.0' WHEN n < 10 THEN n || 'e+20' "
+    "WHEN n % 10 = 0 THEN (n // 10) || 'e+21' ELSE (n // 10) || '.' || (n % 10) || 'e+21' END "
+    "|| ',[' || n || '.5, None],None,' || CASE WHEN n > 20 THEN 'True' ELSE 'False' END || ',[]' AS line FROM q"))
 def q_csv_lines_typed(spark, d):
-    r = load_table(spark, d, "region").withColumn("k", F.col("r_regionkey").cast("long"))
-    k, some = F.col("k").cast("double"), F.col("k") > 0
+    r = load_table(spark, d, "lineitem").select(
+        F.col("l_orderkey").cast("long").alias("k"), "l_returnflag", F.floor("l_quantity").alias("n"))
+    n = F.col("n").cast("double")
     rows = r.select(
         F.array("k", F.col("k") + 1, F.lit(None).cast("long")).alias("ints"),
-        F.array("r_name", F.lit(None).cast("string"), F.lit("l'eau"), F.lit("a\\b\n")).alias("texts"),
-        (k * 1e10).alias("large"), (k / 1e5).alias("small"),
-        F.when(some, (k + 0.5) * 1e20).otherwise(0.0).alias("huge"),
-        F.array(k + 0.5, F.lit(None).cast("double")).alias("floats"),
-        F.lit(None).cast("string").alias("nothing"), (F.col("k") > 2).alias("flag"),
+        F.array("l_returnflag", F.lit(None).cast("string"), F.lit("l'eau"), F.lit("a\\b\n")).alias("texts"),
+        (n * 1e10).alias("large"), (n / 1e5).alias("small"), F.concat(F.col("n").cast("string"), F.lit("e20")).cast("double").alias("huge"),
+        F.array(n + 0.5, F.lit(None).cast("double")).alias("floats"),
+        F.lit(None).cast("string").alias("nothing"), (F.col("n") > 20).alias("flag"),
         F.array().cast("array<string>").alias("none"))
     return rows.select(csv_line(rows).alias("line"))
 
 
+@register("csv_lines_empty", "SELECT '' AS line FROM supplier WHERE s_suppkey < 0")
+def q_csv_lines_empty(spark, d):
+    none = load_table(spark, d, "supplier").where("s_suppkey < 0")
+    return none.select(csv_line(none).alias("line"))
+
+
+@register("src_header_csv_quoted", (
+    "SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN s_name || ', the \"first\"' WHEN 1 THEN 'line' || chr(10) || s_name "
+    "WHEN 2 THEN '\"' ELSE s_name END AS s_name, s_acctbal FROM supplier"))
+def q_src_header_csv_quoted(spark, d):
+    s = load_table(spark, d, "supplier")
+    k = F.col("s_suppkey") % 4
+    name = (F.when(k == 0, F.concat("s_name", F.lit(', the "first"'))).when(k == 1, F.concat(F.lit("line\n"), F.col("s_name")))
+            .when(k == 2, F.lit('"')).otherwise(F.col("s_name")))
+    rows = s.select("s_suppkey", name.alias("s_name"), "s_acctbal")
+    path = scratch_path(spark, "supplier-quoted")
+    S.write_header_csv(rows, path)
+    return S.read_header_csv(spark, path, schema=rows.schema, multi_line=True)
+
+
+# Names of the order priorities, rows of this program.
+_URGENCY = [("1-URGENT", "at once"), ("2-HIGH", "soon"), ("5-LOW", "some day")]
+
+
+@register("local_rows", "SELECT label, count(*) AS n FROM orders JOIN (VALUES " + ", ".join(
+    f"('{p}', '{n}')" for p, n in _URGENCY) + ") v(p, label) ON o_orderpriority = p GROUP BY label")
+def q_local_rows(spark, d):
+    labels = spark.createDataFrame(_URGENCY, "o_orderpriority string, label string")
+    return load_table(spark, d, "orders").join(labels, "o_orderpriority").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("entity_positions", V.with_views(
+    "WITH dim AS (SELECT unnest(range(" + str(len(STATE_CODES)) + ")) AS ordinal, unnest([" + ", ".join(f"'{c}'" for c in STATE_CODES)
+    + "]) AS entity) SELECT dim.entity, dim.ordinal, count(*) AS n FROM inc JOIN dim ON dim.ordinal = inc.entity * 3 "
+    "GROUP BY dim.entity, dim.ordinal", "inc"))
+def q_entity_positions(spark, d):
+    """Entities given by position in a literal list: nation k is the code at 3k; positions beyond the list fall out."""
+    dim = entity_dimension(spark)
+    coded = V.inc(spark, d).select((F.col("entity") * 3).alias("ordinal"), "feature").join(dim, "ordinal")
+    baskets = FI.baskets_from_pairs(coded, "feature", "entity", "entities")
+    inc = M.incidence_from_baskets(baskets, "feature", "entities", dim)
+    return M.feature_counts(inc).join(dim, "entity").select("entity", F.col("ordinal").cast("long").alias("ordinal"), "n")
+
+
 # ------------------------------------------------------- splits, sampling ---
 
 @register("hash_split", V.with_views(
@@ -313,6 +361,42 @@ def q_rmse(spark, d):
         .select(F.round("rmse", 6).alias("rmse"))
 
 
+_FIXED = "CAST(sum(CAST(floor(({0}) * 1099511627776.0) AS BIGINT)) AS DOUBLE) / 1099511627776.0 / count(*)"
+
+
+# The same metrics without any rounding: order-free sums give the same bits in both engines and on any partitioning.
+@register("global_mean_rmse_exact", V.with_views(
+    "SELECT sqrt(" + _FIXED.format("(g - rating) * (g - rating)") + ") AS rmse FROM test "
+    "CROSS JOIN (SELECT avg(rating) AS g FROM train)", "train", "test"))
+def q_global_mean_rmse_exact(spark, d):
+    train, test = V.train_test(spark, d, reuse=True)
+    mean = train.agg(exact_avg(F.col("rating"))).scalar()
+    return test.withColumn("g", mean).agg(exact_rmse("g", "rating").alias("rmse"))
+
+
+_PREDICTED = "(um.user_mean + im.item_mean - gm.g - t.rating)"
+
+
+@register("bias_rmse_exact", V.with_views(
+    _BIAS_CTES + "SELECT sqrt(" + _FIXED.format(f"{_PREDICTED} * {_PREDICTED}") + ") AS rmse FROM test t "
+    "JOIN im USING (itemId) JOIN um USING (userId) CROSS JOIN gm", "train", "test"))
+def q_bias_rmse_exact(spark, d):
+    train, test = V.train_test(spark, d, reuse=True)
+    return R.bias_predictions(train, test, "userId", "itemId").agg(exact_rmse("prediction", "rating").alias("rmse"))
+
+
+@register("bias_interaction_exact", V.with_views(
+    _BIAS_CTES + ", i AS (SELECT t.userId, t.rating - (um.user_mean + im.item_mean - gm.g) AS x FROM train t "
+    "JOIN im USING (itemId) JOIN um USING (userId) CROSS JOIN gm) "
+    "SELECT userId, " + _FIXED.format("x") + " AS mean_interaction, sqrt(" + _FIXED.format("x * x") + ") AS size FROM i GROUP BY userId",
+    "train"))
+def q_bias_interaction_exact(spark, d):
+    train, _ = V.train_test(spark, d, reuse=True)
+    x = F.col("user_item_interaction")
+    return R.bias_interaction(train, ordered=False).groupBy("userId").agg(
+        exact_avg(x).alias("mean_interaction"), F.sqrt(exact_avg(x * x)).alias("size"))
+
+
 @register("als_rmse")
 def q_als_rmse(spark, d):
     train, test = V.train_test(spark, d, reuse=True)
@@ -469,14 +553,22 @@ def q_incidence(spark, d):
     return M.incidence_from_baskets(baskets, "plant", "states", V.some_nations(spark, d))
 
 
-@register("membership", V.with_views(
+_MEMBERSHIP = V.with_views(
     "SELECT p.entity, p.feature, EXISTS (SELECT 1 FROM inc i WHERE i.entity = p.entity "
-    "AND i.feature = p.feature) AS present FROM probes p", "inc", "probes"))
+    "AND i.feature = p.feature) AS present FROM probes p", "inc", "probes")
+
+
+@register("membership_bits", _MEMBERSHIP)
+def q_membership_bits(spark, d):
+    return B.membership_bits(V.supplier_part_probes(spark, d), B.bit_incidence(V.inc(spark, d)))
+
+
+@register("membership", _MEMBERSHIP)
 def q_membership(spark, d):
     return M.membership(V.supplier_part_probes(spark, d), V.inc(spark, d))
 
 
-@register("pair_distance", V.with_views(
+_PAIR_DISTANCE = V.with_views(
     "WITH sz AS (SELECT entity, count(*) AS n FROM inc GROUP BY entity), "
     "ov AS (SELECT p.entity_a, p.entity_b, count(*) AS overlap FROM nation_pairs p "
     "JOIN inc a ON a.entity = p.entity_a JOIN inc b ON b.entity = p.entity_b AND b.feature = a.feature "
@@ -484,7 +576,16 @@ def q_membership(spark, d):
     "SELECT p.entity_a, p.entity_b, CAST(coalesce(l.n, 0) + coalesce(r.n, 0) - 2 * coalesce(ov.overlap, 0) "
     "AS BIGINT) AS d2 FROM nation_pairs p LEFT JOIN ov USING (entity_a, entity_b) "
     "LEFT JOIN sz l ON l.entity = p.entity_a LEFT JOIN sz r ON r.entity = p.entity_b",
-    "inc", "nation_pairs"))
+    "inc", "nation_pairs")
+
+
+@register("pair_distance_bits", _PAIR_DISTANCE)
+def q_pair_distance_bits(spark, d):
+    bits = B.bit_incidence(V.inc(spark, d))
+    return B.pair_distance_bits(V.nation_pairs(spark, d), bits, "entity_a", "entity_b")
+
+
+@register("pair_distance", _PAIR_DISTANCE)
 def q_pair_distance(spark, d):
     inc = saved(V.inc(spark, d), "incidence")  # read by three branches
     return M.pair_distance(V.nation_pairs(spark, d), inc, "entity_a", "entity_b")
