@@ -57,7 +57,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents")
-    return exact_dedup.memberships(docs, exact_dedup.DigestIndex(spark))
+    return exact_dedup.memberships_in_batches(docs, exact_dedup.DigestIndex(spark))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.llm import exact_dedup, line_chunks, near_dedup
@@ -40,6 +41,32 @@ def test_index_persists_and_grows(spark):
     assert "SortMergeJoin" in plan and "LeftAnti" in plan
 
 
+def test_digest_index_knows_its_buckets(spark):
+    first = exact_dedup.DigestIndex(spark, buckets=4)
+    known = [(k, f"text {k}") for k in range(40)]
+    assert exact_dedup.deduplicated(texts(spark, known), first).count() == 40
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, first.path, buckets=8)
+    first.close()
+    again = exact_dedup.DigestIndex(spark, first.path)
+    assert again.buckets == 4
+    assert exact_dedup.deduplicated(texts(spark, [(k + 100, t + " ") for k, t in known]), again).count() == 0
+
+
+def test_digest_index_merges_batches(spark):
+    index = exact_dedup.DigestIndex(spark, buckets=3)
+    exact_dedup.memberships(texts(spark, [(5, "ab")]), index).collect()
+    got = exact_dedup.memberships(texts(spark, [(1, "a  b"), (2, "a b"), (None, "q"), (3, None)]), index).collect()
+    assert {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got} == {
+        (1, 1, 3, True), (2, 1, 3, False), (None, None, 1, True), (3, 3, 1, True)}
+    later = exact_dedup.memberships(texts(spark, [(0, "a  b"), (9, "ab")]), index).collect()
+    assert {(r["doc_id"], r["keep_id"], r["group_size"]) for r in later} == {(0, 0, 5), (9, 0, 5)}
+    rows = [(k, "x" * (k % 3) + " ") for k in range(30)] + [(None, "y"), (50, None)]
+    whole = exact_dedup.memberships(texts(spark, rows), exact_dedup.DigestIndex(spark)).collect()
+    dealt = exact_dedup.memberships_in_batches(texts(spark, rows), exact_dedup.DigestIndex(spark)).collect()
+    assert sorted(map(repr, whole)) == sorted(map(repr, dealt))
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(1000 + k, 1001 + k) for k in range(60)]
