@@ -361,4 +361,6 @@ def kmeans(incidence: DataFrame, k: int, seed: int, max_iter: int | None = None,
     out = state.join(dots, entity_col, "left").selectExpr(
         name, "cluster", f"{SCALE} * n + get({_numbers(by['norm'])}, cluster) - {2 * UNIT} * coalesce(dot, 0L) AS d2_scaled",
         f"{str(converged).lower()} AS converged")
+    out = saved(out, "kmeans-result")
+    forget(inc, counts, state)
     return (out, weights) if return_weights else out

@@ -143,3 +143,52 @@ def test_argmin_has_no_size_cap(spark):
     inc = inc_df(spark, [("x", "a"), ("y", "b")])
     got = {r.entity: r.cluster for r in M.assign(inc, counts, clusters, weights.limit(2), 2).collect()}
     assert got == {"x": 1, "y": 1}
+
+
+def test_kmeans_bounds_change_nothing_and_save_joins(spark, monkeypatch):
+    rng = random.Random(21)
+    pairs = random_incidence(21) + [(f"g{k:02d}", f"{k % 3}-{rng.randrange(12)}") for k in range(30) for _ in range(25)]
+    pairs = sorted(set(pairs))
+    entities = sorted({e for e, _ in pairs} | {"nofeat"})
+    dim = spark.createDataFrame([(e,) for e in entities], "entity string")
+    want = brute_kmeans(pairs, entities, 6, 3, 1000)
+    passes = []
+    for wide in (64, 0):  # sums as columns, sums as rows
+        monkeypatch.setattr(M, "WIDE", wide)
+        got = M.kmeans(inc_df(spark, pairs), 6, 3, entities=dim, passes=passes).collect()
+        assert {r.entity: (r.cluster, Fraction(r.d2_scaled, M.SCALE)) for r in got} == want
+    half = len(passes) // 2
+    assert passes[:half] == passes[half:] and passes[-1][0] == 0
+    assert passes[0][1] == len(entities) > passes[half - 1][1]  # later passes join fewer entities
+
+
+def test_kmeans_edges(spark):
+    empty = M.kmeans(inc_df(spark, []), 3, 1)
+    assert empty.collect() == []
+    few = M.kmeans(inc_df(spark, [("a", "x"), ("b", "y"), ("a", "x")]), 5, 1).collect()
+    assert sorted((r.entity, r.d2_scaled, r.converged) for r in few) == [("a", 0, True), ("b", 0, True)]
+    one = M.kmeans(inc_df(spark, [("a", "x"), ("b", "y"), ("c", "x")]), 1, 1).collect()
+    assert {r.cluster for r in one} == {0} and all(r.converged for r in one)
+
+
+def test_bit_blocks_give_the_same_distances_and_lookups(spark):
+    from quarry.operators import bitmaps as B
+    rng = random.Random(5)
+    pairs = {(f"e{rng.randrange(9)}", f"f{rng.randrange(40_000)}") for _ in range(4000)}
+    pairs |= {("hot", f"f{k}") for k in range(0, 40_000, 3)}
+    inc = inc_df(spark, [*pairs, *list(pairs)[:9], (None, "f1"), ("e1", None)])
+    bits = B.bit_incidence(inc)
+    sets = {}
+    for e, f in pairs:
+        sets.setdefault(e, set()).add(f)
+    assert {r["entity"]: r["n"] for r in B.bit_sizes(bits).collect()} == {e: len(s) for e, s in sets.items()}
+    names = [*sorted(sets), "none", "nobody"]
+    asked = [(a, b) for a in names for b in names]
+    got = B.pair_distance_bits(spark.createDataFrame(asked + asked[:5], "left string, right string"), bits)
+    want = {(a, b): len(sets.get(a, set()) ^ sets.get(b, set())) for a, b in asked}
+    assert {(r["left"], r["right"]): r["d2"] for r in got.collect()} == want and got.count() == len(want)
+    probes = [(rng.choice(names), f"f{rng.randrange(40_100)}", k) for k in range(500)] + [(None, "f1", 1), ("e1", None, 2)]
+    found = B.membership_bits(spark.createDataFrame(probes, "entity string, feature string, k int"), bits).collect()
+    assert len(found) == len(probes)
+    assert all(r["present"] == (r["feature"] in sets.get(r["entity"], set())) for r in found)
+    assert B.bit_incidence(inc_df(spark, [])).blocks.count() == 0

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import recommend as R
@@ -68,6 +69,77 @@ def test_als_solves_its_equations(spark):
     assert all(r.solved for r in R.als_bias_solved(train, seed=1, rank=2, maxIter=3).collect())
 
 
+def made_ratings(spark, users=60, items=25):
+    """A made sample: ratings 1 to 5 from two hidden tastes, with string items and ids beyond INT."""
+    rows = []
+    for u in range(users):
+        for i in range(items):
+            if (u * 7 + i * 11) % 5 < 2:
+                taste = 3 + 1.2 * math.cos(u * 0.7) * math.cos(i * 0.9) + 1.2 * math.sin(u * 0.3) * math.sin(i * 0.5)
+                rows.append((3_000_000_000 + u, f"item-{i:02d}", int(min(5, max(1, round(taste))))))
+    return spark.createDataFrame(rows, "userId long, itemId string, rating int")
+
+
+def test_als_whole_fit_is_checked(spark):
+    from quarry.operators.als_steps import RatingBlocks, agree, iterated
+    train = made_ratings(spark).select("userId", F.substring("itemId", 6, 2).cast("long").alias("itemId"), "rating")
+    got = R.als_steps(train, seed=5, rank=6, maxIter=3).collect()
+    assert {(r["kind"], r["rank"], r["agrees"]) for r in got} == {("user", 6, True), ("item", 6, True)}
+    assert len(got) == 85 and {r["id"] for r in got if r["kind"] == "user"} == {3_000_000_000 + u for u in range(60)}
+    # what it would not let pass: another number of iterations, another regularisation, another rank
+    tr, _, u, i = R._numbered(train, "userId", "itemId", "rating")
+    fit = lambda **p: R._als(u, i, "rating", 5, **{"rank": 6, "maxIter": 3, **p}).fit(tr)
+    start = fit(maxIter=0).userFactors
+    users, items = iterated(tr, u, i, "rating", start, 0.01, 3)
+    assert all(r["agrees"] for r in agree(fit().userFactors, users, 2e-2).collect())
+    for wrong in (fit(maxIter=2), fit(regParam=0.02), fit(rank=5)):
+        for found, wanted in ((wrong.userFactors, users), (wrong.itemFactors, items)):
+            agreeing = [r["agrees"] for r in agree(found, wanted, 2e-2).collect()]
+            assert sum(agreeing) < len(agreeing) / 2
+    # a hot user is dealt over the blocks and gives the same factors
+    few = RatingBlocks(tr, u, i, "rating", blocks=3, heavy=5)
+    assert few.rows.where("heavy").count() > 0
+    one = {r["id"]: r["features"] for r in RatingBlocks(tr, u, i, "rating", blocks=2).solved(items, 0.01).collect()}
+    for r in few.solved(items, 0.01).collect():
+        assert all(math.isclose(a, b, rel_tol=1e-6, abs_tol=1e-9) for a, b in zip(r["features"], one[r["id"]]))
+
+
+def test_published_kind_of_values_on_a_made_sample(spark):
+    """The quality values of the recommenders, on ratings with a known structure."""
+    data = made_ratings(spark)
+    train, test = hash_split(data, ["userId", "itemId"], 123)
+    rows = [tuple(r) for r in train.collect()]
+    mean = sum(r for *_, r in rows) / len(rows)
+    assert math.isclose(R.global_mean(train).first()["global_mean"], mean, rel_tol=1e-12)
+    held = [r[2] for r in test.collect()]
+    want = math.sqrt(sum((mean - r) ** 2 for r in held) / len(held))
+    assert math.isclose(R.global_mean_rmse(train, test).first()["rmse"], want, rel_tol=1e-12)
+    bias = R.bias_rmse(train, test).first()["rmse"]
+    als = R.als_rmse(train, test, seed=123, rank=4, maxIter=10, regParam=0.05).first()["rmse"]
+    both = R.als_bias_rmse(train, test, seed=123, rank=4, maxIter=10, regParam=0.05).first()["rmse"]
+    assert als < want and both < bias  # the hidden tastes are found
+
+
+def test_order_free_sums(spark):
+    from quarry.functions.exprs import exact_avg, exact_rmse, exact_sum
+    rows = [(k % 5, (k * 0.1) ** 3 * (-1) ** k, k * 0.3, k / 7) for k in range(3000)] + [(1, None, 1.0, None)]
+    df = spark.createDataFrame(rows, "g int, x double, a double, b double")
+    seen = set()
+    for parts in (1, 7, 40):
+        d = df.repartition(parts, F.rand(parts))
+        whole = d.agg(exact_sum(F.col("x"), 20), exact_avg(F.col("a")), exact_rmse("a", "b")).first()
+        by = sorted(map(tuple, d.groupBy("g").agg(exact_avg(F.col("b"))).collect()))
+        seen.add((tuple(whole), tuple(by)))
+    assert len(seen) == 1  # the same bits
+    (total, mean, error), _ = seen.pop()
+    assert math.isclose(total, math.fsum(x for _, x, _, _ in rows if x is not None), abs_tol=3000 / 2 ** 20)
+    assert math.isclose(mean, math.fsum(a for *_, a, _ in rows) / len(rows), rel_tol=1e-9)
+    gaps = [(a - b) ** 2 for *_, a, b in rows if b is not None]
+    assert math.isclose(error, math.sqrt(math.fsum(gaps) / len(gaps)), rel_tol=1e-9)
+    with pytest.raises(Exception, match="exact_sum"):
+        df.agg(exact_sum(F.lit(1e300))).collect()
+
+
 def test_means_of_ids_beyond_int(spark):
     train = spark.createDataFrame([(3_000_000_005, 1, 4), (3_000_000_005, 2, 2)], "userId long, itemId long, rating int")
     assert R.global_mean(train).first()[0] == 3.0
