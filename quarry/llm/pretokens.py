@@ -132,11 +132,16 @@ def ragged_take(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.nda
     return flat[np.repeat(shift, size) + np.arange(total)]
 
 
+class Collision(Exception):
+    """Two different pre-tokens have the same 64-bit hash."""
+
+
 class Memory:
     """Pre-tokens that a worker has resolved, found by hash and compared by code points.
 
     A cache only, emptied when it holds ``limit`` entries (about 100 bytes each).
-    ``resolve(hashes, tokens)`` gives the ids of pre-tokens that are not in it.
+    ``resolve(hashes, tokens)`` gives the ids of pre-tokens that are not in it. New entries
+    go to a small sorted table, which joins the large one when it has grown to a quarter of it.
     """
 
     def __init__(self, resolve: Callable[[np.ndarray, list[str]], list], dtype, limit: int = 500_000):
@@ -144,44 +149,71 @@ class Memory:
         self._clear()
 
     def _clear(self) -> None:
-        self.hash = np.zeros(0, np.uint64)
-        self.place = np.zeros((4, 0), np.int64)  # per hash: start and size in cps, start and size in ids
-        self.cps, self.ids = np.zeros(0, np.uint32), np.zeros(0, self.dtype)
+        # hashes, and per hash: start and size in cps, start and size in ids
+        self.tables = [(np.zeros(0, np.uint64), np.zeros((4, 0), np.int64)) for _ in range(2)]
+        self.cps, self.n_cps = np.zeros(1 << 16, np.uint32), 0
+        self.ids, self.n_ids = np.zeros(1 << 16, self.dtype), 0
 
     def __call__(self, hashes: np.ndarray, cps: np.ndarray, begin: np.ndarray, size: np.ndarray, text: str):
-        """Flat ids with the start and size of each of the given distinct spans of ``cps``."""
-        known = self._known(hashes, cps, begin, size)
+        """Flat ids with the start and size of each of the given distinct spans of ``cps`` (sorted by hash)."""
+        place, known = self._found(hashes)
+        if not (np.array_equal(place[1, known], size[known]) and np.array_equal(
+                ragged_take(self.cps, place[0, known], size[known]), ragged_take(cps, begin[known], size[known]))):
+            raise Collision
         new = np.flatnonzero(~known)
         if len(new):
-            if len(self.hash) + len(new) > self.limit and len(self.hash):
+            held = sum(len(h) for h, _ in self.tables)
+            if held and held + len(new) > self.limit:
                 self._clear()
                 new = np.arange(len(hashes))
-            self._learn(hashes[new], cps, begin[new], size[new], text)
-        at = np.searchsorted(self.hash, hashes)
-        return self.ids, self.place[2, at], self.place[3, at]
-
-    def _known(self, hashes, cps, begin, size) -> np.ndarray:
-        if not len(self.hash):
-            return np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
-        hit = np.flatnonzero(self.hash[at] == hashes)
-        start, length = self.place[:2, at[hit]]
-        if not (np.array_equal(length, size[hit])
-                and np.array_equal(ragged_take(self.cps, start, length), ragged_take(cps, begin[hit], size[hit]))):
-            raise ValueError("two pre-tokens share a 64-bit hash")
-        known = np.zeros(len(hashes), bool)
-        known[hit] = True
-        return known
-
-    def _learn(self, hashes, cps, begin, size, text) -> None:
+            place[:, new] = self._learned(hashes[new], cps, begin[new], size[new], text)
+        return self.ids, place[2], place[3]
+
+    def _found(self, hashes) -> tuple[np.ndarray, np.ndarray]:
+        place, known = np.zeros((4, len(hashes)), np.int64), np.zeros(len(hashes), bool)
+        for table, places in self.tables:
+            if len(table):
+                at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
+                hit = table[at] == hashes
+                place[:, hit] = places[:, at[hit]]
+                known |= hit
+        return place, known
+
+    @staticmethod
+    def _put(buffer: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+        if used + len(more) > len(buffer):
+            buffer = np.concatenate([buffer[:used], np.empty(max(used, len(more)) + 1, buffer.dtype)])
+        buffer[used:used + len(more)] = more
+        return buffer
+
+    def _learned(self, hashes, cps, begin, size, text) -> np.ndarray:
         found = self.resolve(hashes, [text[b:b + n] for b, n in zip(begin.tolist(), size.tolist())])
         n = np.fromiter(map(len, found), np.int64, len(found))
-        place = np.stack([np.cumsum(size) - size + len(self.cps), size, np.cumsum(n) - n + len(self.ids), n])
-        self.cps = np.concatenate([self.cps, ragged_take(cps, begin, size)])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), self.dtype, int(n.sum()))])
-        at = np.searchsorted(self.hash, hashes)
-        self.hash = np.insert(self.hash, at, hashes)
-        self.place = np.insert(self.place, at, place, axis=1)
+        place = np.stack([np.cumsum(size) - size + self.n_cps, size, np.cumsum(n) - n + self.n_ids, n])
+        self.cps = self._put(self.cps, self.n_cps, ragged_take(cps, begin, size))
+        self.ids = self._put(self.ids, self.n_ids, np.fromiter(chain.from_iterable(found), self.dtype, int(n.sum())))
+        self.n_cps, self.n_ids = self.n_cps + int(size.sum()), self.n_ids + int(n.sum())
+        large, small = self.tables[0], self._merged(self.tables[1], hashes, place)
+        if len(small[0]) > max(1 << 14, len(large[0]) >> 2):
+            large, small = self._merged(large, *small), (hashes[:0], place[:, :0])
+        self.tables = [large, small]
+        return place
+
+    @staticmethod
+    def _merged(table, hashes, place):
+        at = np.searchsorted(table[0], hashes)
+        return np.insert(table[0], at, hashes), np.insert(table[1], at, place, axis=1)
+
+
+def _without_memory(memory: Memory, hashes, cps, begin, size, text: str):
+    """The slow path of a batch in which hashes collide: its distinct pre-tokens are told apart as strings."""
+    spans = [text[b:b + n] for b, n in zip(begin.tolist(), size.tolist())]
+    first = {}
+    inverse = np.array([first.setdefault(s, len(first)) for s in spans])
+    _, at = np.unique(inverse, return_index=True)
+    found = memory.resolve(hashes[at], list(first))
+    n = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), memory.dtype, int(n.sum())), np.cumsum(n) - n, n, inverse
 
 
 def encode(texts: list[str], memory: Memory) -> tuple[np.ndarray, np.ndarray]:
@@ -200,11 +232,15 @@ def encode(texts: list[str], memory: Memory) -> tuple[np.ndarray, np.ndarray]:
         begin = np.flatnonzero(token_starts(cps, first))
         end = np.append(begin[1:], len(cps))
         size = end - begin
-        u, at, inverse = np.unique(span_hashes(cps, begin, end), return_index=True, return_inverse=True)
-        if not (np.array_equal(size[at][inverse], size)
-                and np.array_equal(cps, ragged_take(cps, begin[at][inverse], size))):
-            raise ValueError("two pre-tokens share a 64-bit hash")
-        flat, start, n = memory(u, cps, begin[at], size[at], text)
+        hashes = span_hashes(cps, begin, end)
+        u, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        try:
+            if not (np.array_equal(size[at][inverse], size)
+                    and np.array_equal(cps, ragged_take(cps, begin[at][inverse], size))):
+                raise Collision
+            flat, start, n = memory(u, cps, begin[at], size[at], text)
+        except Collision:
+            flat, start, n, inverse = _without_memory(memory, hashes, cps, begin, size, text)
         each = n[inverse]
         ids.append(ragged_take(flat, start[inverse], each))
         upto = np.concatenate([[0], np.cumsum(each)])

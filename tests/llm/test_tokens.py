@@ -56,6 +56,35 @@ def test_long_texts_are_cut_where_no_token_spans(reference, monkeypatch):
         assert v.encode([t])[0].tolist() == reference.encode_ordinary(t)
 
 
+def test_colliding_hashes_take_the_slow_path(reference, monkeypatch):
+    v, library = bpe.vocabulary(RANKS), planes.LibraryEncoder(JSON)
+    own, whole = invented(200, seed=9), pretokens.span_hashes
+
+    def few(cps, begin, end):  # many tokens share a hash, in a batch and with the memory
+        h = whole(cps, begin, end)
+        return np.where(end - begin > 2, h & np.uint64(7), h)
+
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    want = [e.ids for e in tokenizer.encode_batch(own, add_special_tokens=False)]
+    monkeypatch.setattr(pretokens, "span_hashes", few)
+    for t, ids in zip(own, want):
+        assert library.encode([t])[0].tolist() == ids
+        memory = pretokens.Memory(v.resolve, np.int32)
+        assert pretokens.encode([t], memory)[0].tolist() == reference.encode_ordinary(t)
+
+
+def test_memory_grows_in_steps(reference):
+    v = bpe.vocabulary(RANKS)
+    memory = pretokens.Memory(v.resolve, np.int32, limit=60_000)
+    rng = random.Random(8)
+    for _ in range(40):
+        own = ["".join(f" w{rng.randrange(200_000)}" for _ in range(1000)) for _ in range(2)]
+        ids, n = pretokens.encode(own, memory)
+        for t, part in zip(own, np.split(ids, np.cumsum(n)[:-1])):
+            assert part.tolist() == reference.encode_ordinary(t)
+
+
 def test_memory_may_be_emptied(reference):
     v = bpe.vocabulary(RANKS)
     small = pretokens.Memory(v.resolve, np.int32, limit=20)
