@@ -16,6 +16,10 @@ capitalised word but the COMMON ones as a name, wherever it stands, and with no
 at all, every word lower-cased. Copies that differ in case or stand elsewhere are
 found by these, and the covered tokens of all readings are united.
 
+Names and numbers of several words ("Ana Maria", "twenty five") are one token in a second family
+of windows, with places of its own, so that slots of different length keep their alignment;
+a document is contaminated if either family says so.
+
 A window with fewer literals than half its tokens (or none, if it is a whole item)
 says little as a template; it is joined on its raw lower-cased words instead, so
 verbatim copies of number-rich items are found and bare placeholders match nothing.
@@ -101,7 +105,8 @@ class Words(dict):
         self.kind[n] = (BREAK if word == _NEWLINE else NOTHING if not c
                         else NUMBER if _NUMBER.match(c) or low in NUMBER_WORDS else LITERAL)
         ends = word.rstrip("\"')]}»”’")[-1:] in tuple(".!?:")
-        self.flags[n] = ends + 2 * c[:1].isupper() + 4 * (low in UNITS) + 8 * (low in COMMON)
+        self.flags[n] = (ends + 2 * c[:1].isupper() + 4 * (low in UNITS) + 8 * (low in COMMON)
+                         + 16 * (not word.endswith(c)) + 32 * (low in NUMBER_WORDS))
         return n
 
     def numbers(self, words: list[str]) -> np.ndarray:
@@ -114,8 +119,10 @@ _NEWLINE = "\x00"
 _words = Words()
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Token hashes and kinds of a text's template, its raw words, which of them are the tokens, and its readings."""
+def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]],
+                                 tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Token hashes and kinds of a text's template, its raw words, which of them are the tokens, its readings, and its
+    tokens with names and numbers of several words as one: their hashes, kinds and first tokens."""
     words = text.replace("\n", f" {_NEWLINE} ").split()
     n = _words.numbers(words)
     kind, flags = _words.kind[n], _words.flags[n]
@@ -127,8 +134,15 @@ def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray,
     after_number = np.zeros(len(kind), bool)
     after_number[1:] = kind[:-1] == NUMBER
     kind[after_number & (flags & 4 > 0)] = UNIT
-    read = readings(_words.hash[n], kind, flags & 10 == 2)
-    return *read[0], words, kept, read
+    raw = _words.hash[n]
+    read = readings(raw, kind, flags & 10 == 2)
+    named = read[1][1]
+    # a name goes on with a name, a number with a number word, if neither punctuation nor anything else is between
+    goes_on = np.zeros(len(kind), bool)
+    goes_on[1:] = ((named[1:] == named[:-1]) & ((named[1:] == NAME) | (named[1:] == NUMBER) & (flags[1:] & 32 > 0))
+                   & (flags[:-1] & 16 == 0) & (np.diff(kept) == 1))
+    first = np.flatnonzero(~goes_on)
+    return *read[0], words, kept, read, (read[1][0][first], named[first], first)
 
 
 def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -162,16 +176,16 @@ def telling(read: list[tuple[np.ndarray, np.ndarray]], size: int) -> list[np.nda
     return [some[0], enough[1], some[2], ~some[2]]
 
 
-def _shown(words: list[str], kinds: np.ndarray) -> tuple[str, list[str]]:
+def _shown(cores: list[str], kinds: list[int]) -> tuple[str, list[str]]:
     """A window's template text and its slots' values, typed."""
-    cores = [core(w).lower() for w in words]
     return (" ".join(PLACEHOLDER.get(k, c) for c, k in zip(cores, kinds)),
             [f"{PLACEHOLDER[k]}{c}" for c, k in zip(cores, kinds) if k != LITERAL])
 
 
-_WINDOW_ROW = "id long, pos int, size int, hash long, n_tokens int, template string, slots array<string>"
-_SCHEMA = pa.schema([("id", pa.int64()), ("pos", pa.int32()), ("size", pa.int32()), ("hash", pa.int64()),
-                     ("n_tokens", pa.int32()), ("template", pa.string()), ("slots", pa.list_(pa.string()))])
+_WINDOW_ROW = ("id long, family int, pos int, size int, hash long, n_tokens int, template string, slots array<string>")
+_SCHEMA = pa.schema([("id", pa.int64()), ("family", pa.int32()), ("pos", pa.int32()), ("size", pa.int32()),
+                     ("hash", pa.int64()), ("n_tokens", pa.int32()), ("template", pa.string()),
+                     ("slots", pa.list_(pa.string()))])
 
 
 def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None) -> DataFrame:
@@ -179,7 +193,8 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
 
     ``sizes`` None: windows of each item's own size (WINDOW or, if shorter, its
     length), in the readings that :func:`readings` gives and :func:`telling` keeps.
-    Other tables have every reading of every window, equal ones once. ``wanted``: a
+    Other tables have every reading of every window, equal ones once. Family 0 counts single words, family 1
+    names and numbers of several words as one token. ``wanted``: a
     broadcast sorted array; other hashes are left out.
     """
     def run(batches):
@@ -187,29 +202,64 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
         if wanted is not None:  # the hashes' top bits rule out most windows
             w, bits = wanted.value, np.zeros(1 << 64 - int(_TOP), bool)
             bits[w >> _TOP] = True
+
+        def looked_up(h):
+            if bits is None:
+                return np.ones(len(h), bool)
+            take = bits[h >> _TOP]
+            at = np.flatnonzero(take)
+            take[at] = w[np.minimum(np.searchsorted(w, h[at]), len(w) - 1)] == h[at]
+            return take
+
+        def single(read, size):
+            """Hashes and wanted windows of each reading; a reading whose kinds an earlier one has is left to that one."""
+            found = []
+            for r, (hashes, kinds) in enumerate(read):
+                same = next((k for k in range(r) if np.array_equal(kinds, read[k][1])), None)
+                if same is not None:
+                    found.append((*found[same][:2], same))
+                else:
+                    h = window_hashes(hashes, size)
+                    found.append((h, looked_up(h), r))
+            return found
+
         for batch in batches:
             rows = []
             for key, text in text_rows(batch, "id", "text"):
-                tokens, _, words, place, read = template(text)
+                tokens, _, words, place, read, (joint, joint_kinds, first) = template(text)
+                whole = len(first) == len(tokens)  # nothing is joined
+
+                def cores(begin, end):
+                    return " ".join(core(words[k]).lower() for k in place[begin:end])
+
+                def row(family, h, p, size, n_tokens, kinds):
+                    edge = range(p, p + size + 1) if not family else [*first[p:p + size + 1], *[len(tokens)][:p + size == len(first)]]
+                    shown, slots = _shown([cores(a, b) for a, b in zip(edge[:-1], edge[1:])], kinds[p:p + size].tolist())
+                    return key, family, p, size, int(h[p].view(np.int64)), n_tokens, shown, slots
+
                 for size in sizes or [min(WINDOW, len(tokens))]:
                     if not 0 < size <= len(tokens):
                         continue
                     counts, before = telling(read, size) if sizes is None else None, []
-                    for r, (hashes, kinds) in enumerate(read):
-                        h = window_hashes(hashes, size)
-                        take = counts[r].copy() if counts else np.ones(len(h), bool)
-                        if bits is not None:
-                            take = bits[h >> _TOP]
-                            at = np.flatnonzero(take)
-                            take[at] = w[np.minimum(np.searchsorted(w, h[at]), len(w) - 1)] == h[at]
-                        if not take.any():
+                    found = single(read, size)
+                    for r, (h, wanted_here, same) in enumerate(found):
+                        take = wanted_here & counts[r] if counts else wanted_here.copy()
+                        if not take.any() or same != r and not counts:
                             continue
                         for other, taken in before:  # a window that an earlier reading has
                             take &= ~((h == other) & taken)
                         before.append((h, take))
-                        for p in np.flatnonzero(take).tolist():
-                            shown, slots = _shown([words[k] for k in place[p:p + size]], kinds[p:p + size].tolist())
-                            rows.append((key, p, size, int(h[p].view(np.int64)), len(tokens), shown, slots))
+                        rows += [row(0, h, p, size, len(tokens), read[r][1]) for p in np.flatnonzero(take).tolist()]
+                    if whole and sizes is not None:
+                        h, take, _ = found[1]
+                        rows += [row(1, h, p, size, len(first), joint_kinds) for p in np.flatnonzero(take).tolist()]
+                for size in (sizes or [min(WINDOW, len(first))]) if sizes is None or not whole else []:
+                    if 0 < size <= len(first):
+                        h = window_hashes(joint, size)
+                        take = looked_up(h)
+                        if sizes is None:
+                            take &= telling([(joint, joint_kinds)] * 4, size)[0]
+                        rows += [row(1, h, p, size, len(first), joint_kinds) for p in np.flatnonzero(take).tolist()]
                 if len(rows) >= 20_000:
                     yield columns(rows, _SCHEMA)
                     rows = []
@@ -221,7 +271,7 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
 
 def _consistency(aligned: DataFrame) -> DataFrame:
     """Per alignment: its slots, the changed ones, and the share that maps consistently."""
-    by = ["doc_id", "item_id", "shift"]
+    by = ["doc_id", "item_id", "family", "shift"]
     slot = (aligned.select(*by, "item_pos", F.explode(F.arrays_zip("item_slots", "slots")).alias("s"), )
             .select(*by, F.col("s.item_slots").alias("x"), F.col("s.slots").alias("y")))
     # a slot stands in up to WINDOW windows of its alignment: shares, not counts, are compared
@@ -244,30 +294,33 @@ def matches(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROA
         hits = windows(docs, "doc_id", sizes or [WINDOW], spark.sparkContext.broadcast(found))
     else:
         hits = windows(docs, "doc_id", sizes).join(hashes, "hash", "left_semi")
-    hits = saved(hits.select(F.col("id").alias("doc_id"), "pos", "hash", "template", "slots"), "bench-hits")
-    own = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "size", "hash", "template",
+    hits = saved(hits.select(F.col("id").alias("doc_id"), "family", "pos", "hash", "template", "slots"), "bench-hits")
+    own = items.select(F.col("id").alias("item_id"), "family", F.col("pos").alias("item_pos"), "size", "hash", "template",
                        F.col("n_tokens").alias("item_tokens"), F.col("slots").alias("item_slots"))
-    aligned = saved(hits.join(own, ["hash", "template"]).withColumn("shift", F.col("pos") - F.col("item_pos")),
+    aligned = saved(hits.join(own, ["family", "hash", "template"]).withColumn("shift", F.col("pos") - F.col("item_pos")),
                     "bench-aligned")
-    by = ["doc_id", "item_id", "shift"]
+    by = ["doc_id", "item_id", "family", "shift"]
     checked = saved(_consistency(aligned), "bench-slots")
     on = F.lit(True)
-    c = checked.toDF("d", "i", "s", *checked.columns[3:])
-    for a, b in zip(by, "dis"):
+    c = checked.toDF("d", "i", "f", "s", *checked.columns[4:])
+    for a, b in zip(by, "difs"):
         on = on & aligned[a].eqNullSafe(c[b])
     good = aligned.join(c, on, "left").where(
         f"consistency is null or consistency >= {CONSISTENT} or slots = item_slots")
-    good = good.groupBy("doc_id", "item_id", "item_pos").agg(
+    good = good.groupBy("doc_id", "item_id", "family", "item_pos").agg(
         F.first("size").alias("size"), F.first("item_tokens").alias("item_tokens"),
         F.min(F.coalesce(F.col("changed") / F.col("places"), F.lit(0.0))).alias("changed"))
-    after = F.lead("item_pos").over(Window.partitionBy("doc_id", "item_id").orderBy("item_pos"))
+    after = F.lead("item_pos").over(Window.partitionBy("doc_id", "item_id", "family").orderBy("item_pos"))
     covered = F.least("size", F.coalesce(after - F.col("item_pos"), F.col("size")))
-    out = good.withColumn("c", covered).groupBy("doc_id", "item_id").agg(
+    out = good.withColumn("c", covered).groupBy("doc_id", "item_id", "family").agg(
         F.max("item_tokens").alias("item_tokens"), F.sum("c").cast("int").alias("covered_tokens"),
         F.min("changed").alias("changed_share"))
-    out = out.withColumn("coverage", F.col("covered_tokens") / F.col("item_tokens"))
-    return out.where(f"coverage >= {COVERAGE} or covered_tokens >= {LONG_RUN}").select(
-        "doc_id", "item_id", "item_tokens", "covered_tokens", "coverage", "changed_share")
+    out = out.withColumn("coverage", F.col("covered_tokens") / F.col("item_tokens")).where(
+        f"coverage >= {COVERAGE} or covered_tokens >= {LONG_RUN}")
+    # of the two families the one that covers more
+    best = F.max(F.struct("coverage", (-F.col("family")).alias("_f"), "item_tokens", "covered_tokens", "changed_share"))
+    return out.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+        "doc_id", "item_id", "b.item_tokens", "b.covered_tokens", "b.coverage", "b.changed_share")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -112,6 +112,40 @@ def test_items_of_the_tables_in_other_case(spark, sf):
     assert {(d, d % 1000) for d, _ in rows} <= found(spark, rows, own)
 
 
+QUESTIONS = [
+    "{a}, {b} and {c} share {x} dollars equally among themselves before they go to the old market, how much does each of them get?",
+    "How many apples does {a} have left when {b} takes {x} of the {y} apples that were lying on the kitchen table?",
+    "The train of {a} leaves the northern station at {x} and arrives after {y} minutes, so when does {b} have to be there?",
+    "If {a} paints {x} walls in {y} hours, then how long do {b} and {a} together need for all the remaining walls?",
+]
+NAMES = ["Ana", "Boris", "Chloe", "Dmitri", "Elif", "Farah", "Goran", "Hana"]
+
+
+def filled(question, rng, names, numbers):
+    (a, b, c), (x, y) = rng.sample(names, 3), rng.sample(numbers, 2)  # different slots have different values
+    return question.format(a=a, b=b, c=c, x=x, y=y)
+
+
+def test_slots_of_several_words(spark):
+    rng = random.Random(6)
+    double = [f"{n} {s}" for n, s in zip(NAMES, ["Maria", "Ivanov", "Le Roy", "Petrov", "Kaya", "Haddad", "Horvat", "Novak"])]
+    numbers, worded = ["3", "17", "40", "1,250"], ["twenty five", "three hundred", "9 million", "sixty"]
+    bench = spark.createDataFrame([(k, filled(q, rng, NAMES, numbers)) for k, q in enumerate(QUESTIONS)], "item_id long, text string")
+    kinds = [(NAMES, numbers), (double, numbers), (NAMES, worded), (double, worded)]
+    rows, want = [], set()
+    for k, question in enumerate(QUESTIONS):
+        for kind, (names, values) in enumerate(kinds):
+            for copy in range(5):
+                doc = len(rows)
+                rows.append((doc, f"So here is another one. {filled(question, rng, names, values)} That was it."))
+                want.add((doc, k))
+    # looks alike, but no slot maps consistently
+    rows.append((len(rows), "The old market of Ana Maria has twenty five apples and so many minutes were lying on the table."))
+    for bound in (decontaminate.BROADCAST_WINDOWS, 0):
+        got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(texts(spark, rows), bench, bound).collect()}
+        assert got == want
+
+
 def test_decontamination_against_brute_force(spark, sf):
     docs, bench = load_table(spark, sf, "documents"), load_table(spark, sf, "benchmark")
     grams = lambda t: {tuple(w[k:k + 6]) for w in [t.lower().split()] for k in range(len(w) - 5)}
