@@ -23,7 +23,10 @@ times as many leaders, against members of other components, until each pair of
 different components in a bucket has been compared. A pair is left out where its
 link is impossible: documents of the open buckets that share a rare shingle (of at
 most RARE of them) are compared anyway, so for all others the rare shingles bound
-the intersection from above. Nothing is capped or sampled.
+the intersection from above. A pair is listed in one of the buckets that it shares.
+Before the full sets are compared, sketches that agree in less than ESTIMATE of
+the coordinates are dropped (5.5 deviations below the threshold, about 2e-8 of
+the links). Nothing else is capped or sampled.
 
 Defined cases: null texts have empty sets; a null id is linked with nothing, has
 no component and is kept; rows that share an id are one node; an empty table
@@ -37,7 +40,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.arrow import columns, map_batches, text_rows
@@ -251,10 +254,16 @@ def links_to_components(docs: DataFrame, members: DataFrame, sketched: DataFrame
         lead = saved(live.groupBy("key", slot.alias("slot")).agg(F.min(F.struct("id", "c", "n", "m")).alias("x"))
                      .select("key", "x.id", "x.c", "x.n", "x.m"), "near-leaders")
         leaders = lead.select("key", "id")
+        # a pair shares several buckets: it is emitted in the first of those that its leader leads (51 keys at most)
+        every = F.collect_set("key").over(Window.partitionBy("id"))
+        one = lead.select("key", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"),
+                          F.col("m").alias("ma"), every.alias("leads"))
+        both = live.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"),
+                           F.col("m").alias("mb"), every.alias("keys"))
         # an upper bound of the intersection must reach the threshold
-        near = f"ca <> cb and 100 * least(ma, mb) >= {THRESHOLD} * (na + nb - least(ma, mb))"
-        both = live.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("m").alias("mb"))
-        pairs = lead.toDF("key", "a", "ca", "na", "ma").join(both, "key").where(near).select(
+        near = (f"ca <> cb and 100 * least(ma, mb) >= {THRESHOLD} * (na + nb - least(ma, mb)) "
+                "and array_min(array_intersect(leads, keys)) = key")
+        pairs = one.join(both, "key").where(near).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if alike is not None:
             pairs, alike = pairs.union(alike).distinct(), None
