@@ -17,7 +17,7 @@ def test_matches_sql(spark, sf, key):
 def test_registered(spark):
     import __spark_entry__ as entry
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
 
 
