@@ -116,46 +116,83 @@ class Words(dict):
 
 
 _NEWLINE = "\x00"
+_TOGETHER = 1 << 18  # characters of texts that are worked off together
 _words = Words()
 
 
-def template(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, list[tuple[np.ndarray, np.ndarray]],
-                                 tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Token hashes and kinds of a text's template, its raw words, which of them are the tokens, its readings, and its
-    tokens with names and numbers of several words as one: their hashes, kinds and first tokens."""
-    words = text.replace("\n", f" {_NEWLINE} ").split()
-    n = _words.numbers(words)
-    kind, flags = _words.kind[n], _words.flags[n]
-    start = np.ones(len(n), bool)
-    start[1:] = (flags[:-1] & 1 > 0) | (kind[:-1] == BREAK)
-    kind[(kind == LITERAL) & (flags & 2 > 0) & ~start] = NAME
-    kept = np.flatnonzero(kind < NOTHING)
-    kind, n, flags = kind[kept], n[kept], flags[kept]
-    after_number = np.zeros(len(kind), bool)
-    after_number[1:] = kind[:-1] == NUMBER
-    kind[after_number & (flags & 4 > 0)] = UNIT
-    raw = _words.hash[n]
-    read = readings(raw, kind, flags & 10 == 2)
-    named = read[1][1]
-    # a name goes on with a name, a number with a number word, if neither punctuation nor anything else is between
-    goes_on = np.zeros(len(kind), bool)
-    goes_on[1:] = ((named[1:] == named[:-1]) & ((named[1:] == NAME) | (named[1:] == NUMBER) & (flags[1:] & 32 > 0))
-                   & (flags[:-1] & 16 == 0) & (np.diff(kept) == 1))
-    first = np.flatnonzero(~goes_on)
-    return *read[0], words, kept, read, (read[1][0][first], named[first], first)
-
-
-def window_hashes(tokens: np.ndarray, size: int) -> np.ndarray:
+class Templates:
+    """The templates of some texts, token after token in one array each.
+
+    ``raw`` hashes and ``kinds`` of the tokens, ``capital``: by their look names, ``text``: which text each is of, ``place``: its
+    word among ``words``; ``first``: the first tokens of the joint ones (names and numbers of several words as one).
+    """
+
+    def __init__(self, texts: list[str]):
+        # every text ends with a line break, which no window and no sentence crosses
+        self.words, sizes = [], []
+        for text in texts:
+            own = text.replace("\n", f" {_NEWLINE} ").split()
+            own.append(_NEWLINE)
+            self.words += own
+            sizes.append(len(own))
+        n = _words.numbers(self.words)
+        kind, flags = _words.kind[n], _words.flags[n]
+        start = np.ones(len(n), bool)
+        start[1:] = (flags[:-1] & 1 > 0) | (kind[:-1] == BREAK)
+        kind[(kind == LITERAL) & (flags & 2 > 0) & ~start] = NAME
+        self.place = kept = np.flatnonzero(kind < NOTHING)
+        self.text = np.repeat(np.arange(len(texts)), sizes)[kept]
+        kind, n, flags = kind[kept], n[kept], flags[kept]
+        after = np.zeros(len(kind), bool)
+        after[1:] = (kind[:-1] == NUMBER) & (self.text[1:] == self.text[:-1])
+        kind[after & (flags & 4 > 0)] = UNIT
+        self.raw, self.kinds, self.capital = _words.hash[n], kind, flags & 10 == 2
+        self.read = readings(self.raw, kind, self.capital)
+        named = self.read[1][1]
+        # a name goes on with a name, a number with a number word, if neither punctuation nor anything else is between
+        goes_on = np.zeros(len(kind), bool)
+        goes_on[1:] = ((named[1:] == named[:-1]) & ((named[1:] == NAME) | (named[1:] == NUMBER) & (flags[1:] & 32 > 0))
+                       & (flags[:-1] & 16 == 0) & (np.diff(kept) == 1))
+        self.first = np.flatnonzero(~goes_on)
+        self.joint = (self.read[1][0][self.first], named[self.first])
+
+    def shown(self, family: int, p: int, size: int, kinds: np.ndarray) -> tuple[str, list[str]]:
+        """A window's template text and its slots' values, typed."""
+        at = np.arange(p, p + size + 1) if not family else np.append(self.first, len(self.place))[p:p + size + 1]
+        place = np.append(self.place, len(self.words))
+        out, slots = [], []
+        for a, b, kind in zip(at[:-1].tolist(), at[1:].tolist(), kinds[p:p + size].tolist()):
+            value = " ".join(core(self.words[k]).lower() for k in place[a:b].tolist())
+            out.append(PLACEHOLDER.get(kind, value))
+            if kind != LITERAL:
+                slots.append(f"{PLACEHOLDER[kind]}{value}")
+        return " ".join(out), slots
+
+
+def window_hashes(tokens: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of all windows, or of those that begin ``at`` the given tokens."""
     n = len(tokens) - size + 1
     if n < 1:
         return np.zeros(0, np.uint64)
     t = _mix(tokens)
-    x = np.full(n, size, np.uint64) * _STEP[-1]
+    x = np.full(n if at is None else len(at), size, np.uint64) * _STEP[-1]
     for k in range(size):
-        x += t[k:n + k] * _STEP[k]
+        x += (t[k:n + k] if at is None else t[at + k]) * _STEP[k]
     return _mix(x)
 
 
+def _spread(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    out = np.zeros(n, values.dtype)
+    out[at] = values
+    return out
+
+
+def _touched(marked: np.ndarray, size: int) -> np.ndarray:
+    """Which windows hold a marked token."""
+    upto = np.concatenate([[0], np.cumsum(marked)])
+    return upto[size:] > upto[:-size]
+
+
 def readings(raw: np.ndarray, kinds: np.ndarray, capital: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Hashes and kinds of a text's tokens: as a template, with every capitalised word as a name, without names,
     and as raw lower-cased words."""
@@ -176,12 +213,6 @@ def telling(read: list[tuple[np.ndarray, np.ndarray]], size: int) -> list[np.nda
     return [some[0], enough[1], some[2], ~some[2]]
 
 
-def _shown(cores: list[str], kinds: list[int]) -> tuple[str, list[str]]:
-    """A window's template text and its slots' values, typed."""
-    return (" ".join(PLACEHOLDER.get(k, c) for c, k in zip(cores, kinds)),
-            [f"{PLACEHOLDER[k]}{c}" for c, k in zip(cores, kinds) if k != LITERAL])
-
-
 _WINDOW_ROW = ("id long, family int, pos int, size int, hash long, n_tokens int, template string, slots array<string>")
 _SCHEMA = pa.schema([("id", pa.int64()), ("family", pa.int32()), ("pos", pa.int32()), ("size", pa.int32()),
                      ("hash", pa.int64()), ("n_tokens", pa.int32()), ("template", pa.string()),
@@ -204,62 +235,72 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
             bits[w >> _TOP] = True
 
         def looked_up(h):
+            """The places of wanted hashes."""
             if bits is None:
-                return np.ones(len(h), bool)
-            take = bits[h >> _TOP]
-            at = np.flatnonzero(take)
-            take[at] = w[np.minimum(np.searchsorted(w, h[at]), len(w) - 1)] == h[at]
-            return take
-
-        def single(read, size):
-            """Hashes and wanted windows of each reading; a reading whose kinds an earlier one has is left to that one."""
-            found = []
-            for r, (hashes, kinds) in enumerate(read):
-                same = next((k for k in range(r) if np.array_equal(kinds, read[k][1])), None)
-                if same is not None:
-                    found.append((*found[same][:2], same))
-                else:
-                    h = window_hashes(hashes, size)
-                    found.append((h, looked_up(h), r))
-            return found
+                return np.arange(len(h))
+            at = np.flatnonzero(bits[h >> _TOP])
+            return at[w[np.minimum(np.searchsorted(w, h[at]), len(w) - 1)] == h[at]]
+
+        def of_items(t, size):
+            """Windows of one item in every reading that counts, equal ones once: (family, place, hash, kinds)."""
+            before = []
+            for (hashes, kinds), counts in zip(t.read, telling(t.read, size)):
+                h, take = window_hashes(hashes, size), counts.copy()
+                for other, taken in before:
+                    take &= ~((h == other) & taken)
+                before.append((h, take))
+                yield 0, np.flatnonzero(take), h, kinds
+            size = min(WINDOW, len(t.first))
+            h = window_hashes(t.joint[0], size)
+            yield 1, np.flatnonzero(telling([t.joint] * 4, size)[0]), h, t.joint[1]
+
+        def of_texts(t, size):
+            """Wanted windows of many texts in every reading, equal ones once."""
+            inside = t.text[:len(t.text) - size + 1] == t.text[size - 1:]
+            all_h = {}
+            # a reading differs from the one before it in few tokens: only windows that hold one of these are hashed
+            for r, like in ((0, None), (1, 0), (2, 0), (3, 2)):
+                hashes, kinds = t.read[r]
+                new = inside if like is None else inside & _touched(kinds != t.read[like][1], size)
+                if r == 2:  # names of both kinds are gone: equal to reading 1 where that has no name
+                    new = new & _touched(kinds != t.read[1][1], size)
+                if r == 3:  # and to the others where they have neither name nor number
+                    new = new & _touched(kinds != t.read[0][1], size) & _touched(kinds != t.read[1][1], size)
+                at = np.flatnonzero(new)
+                h = window_hashes(hashes, size, None if like is None else at)
+                found = looked_up(h if like is not None else h[at])
+                yield 0, at[found], h if like is None else _spread(h, at, len(inside)), kinds
+            if len(t.first) >= size:
+                whose = t.text[t.first]
+                h = window_hashes(t.joint[0], size)
+                at = np.flatnonzero(whose[:len(h)] == whose[size - 1:])
+                yield 1, at[looked_up(h[at])], h, t.joint[1]
+
+        def rows_of(keys, texts):
+            t = Templates(texts)
+            n_tokens = (np.bincount(t.text, minlength=len(texts)), np.bincount(t.text[t.first], minlength=len(texts)))
+            first = [np.cumsum(n) - n for n in n_tokens]
+            whose = (t.text, t.text[t.first])
+            for size in sizes or [min(WINDOW, len(t.text))]:
+                if not 0 < size <= len(t.text):
+                    continue
+                for family, at, h, kinds in (of_items if sizes is None else of_texts)(t, size):
+                    for p in at.tolist():
+                        k = int(whose[family][p])
+                        own = min(WINDOW, len(t.first)) if sizes is None and family else size
+                        yield (keys[k], family, p - int(first[family][k]), own, int(h[p].view(np.int64)),
+                               int(n_tokens[family][k]), *t.shown(family, p, own, kinds))
 
         for batch in batches:
-            rows = []
-            for key, text in text_rows(batch, "id", "text"):
-                tokens, _, words, place, read, (joint, joint_kinds, first) = template(text)
-                whole = len(first) == len(tokens)  # nothing is joined
-
-                def cores(begin, end):
-                    return " ".join(core(words[k]).lower() for k in place[begin:end])
-
-                def row(family, h, p, size, n_tokens, kinds):
-                    edge = range(p, p + size + 1) if not family else [*first[p:p + size + 1], *[len(tokens)][:p + size == len(first)]]
-                    shown, slots = _shown([cores(a, b) for a, b in zip(edge[:-1], edge[1:])], kinds[p:p + size].tolist())
-                    return key, family, p, size, int(h[p].view(np.int64)), n_tokens, shown, slots
-
-                for size in sizes or [min(WINDOW, len(tokens))]:
-                    if not 0 < size <= len(tokens):
-                        continue
-                    counts, before = telling(read, size) if sizes is None else None, []
-                    found = single(read, size)
-                    for r, (h, wanted_here, same) in enumerate(found):
-                        take = wanted_here & counts[r] if counts else wanted_here.copy()
-                        if not take.any() or same != r and not counts:
-                            continue
-                        for other, taken in before:  # a window that an earlier reading has
-                            take &= ~((h == other) & taken)
-                        before.append((h, take))
-                        rows += [row(0, h, p, size, len(tokens), read[r][1]) for p in np.flatnonzero(take).tolist()]
-                    if whole and sizes is not None:
-                        h, take, _ = found[1]
-                        rows += [row(1, h, p, size, len(first), joint_kinds) for p in np.flatnonzero(take).tolist()]
-                for size in (sizes or [min(WINDOW, len(first))]) if sizes is None or not whole else []:
-                    if 0 < size <= len(first):
-                        h = window_hashes(joint, size)
-                        take = looked_up(h)
-                        if sizes is None:
-                            take &= telling([(joint, joint_kinds)] * 4, size)[0]
-                        rows += [row(1, h, p, size, len(first), joint_kinds) for p in np.flatnonzero(take).tolist()]
+            rows, keys, texts, held = [], [], [], 0
+            for key, text in [*text_rows(batch, "id", "text"), (None, None)]:
+                if texts and (text is None or sizes is None or held + len(text) > _TOGETHER):
+                    rows += rows_of(keys, texts)
+                    keys, texts, held = [], [], 0
+                if text:
+                    keys.append(key)
+                    texts.append(text)
+                    held += len(text)
                 if len(rows) >= 20_000:
                     yield columns(rows, _SCHEMA)
                     rows = []
