@@ -42,9 +42,10 @@ def map_batches(df: DataFrame, run: Callable[[Batches], Batches], schema: str) -
 
 
 def text_rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
-    """Rows of the named columns; the last one is the text, null as empty."""
-    *others, texts = (batch.column(n) for n in names)
-    yield from zip(*(c.to_pylist() for c in others), (t or "" for t in texts.to_pylist()))
+    """Rows of the named columns; the last one is the text, null as empty. Few texts at a time are Python strings."""
+    for at in range(0, batch.num_rows, 500):
+        *others, texts = (batch.column(n).slice(at, 500) for n in names)
+        yield from zip(*(c.to_pylist() for c in others), (t or "" for t in texts.to_pylist()))
 
 
 def columns(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

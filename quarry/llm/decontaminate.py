@@ -37,6 +37,7 @@ are one document or item; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -88,7 +89,7 @@ def core(word: str) -> str:
 class Words(dict):
     """Numbers of raw words, and their properties by number; emptied between texts at ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 60_000):
         super().__init__()
         self.limit = limit
         self.hash, self.kind, self.flags = np.zeros(1024, np.uint64), np.zeros(1024, np.uint8), np.zeros(1024, np.uint8)
@@ -293,7 +294,7 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
 
         for batch in batches:
             rows, keys, texts, held = [], [], [], 0
-            for key, text in [*text_rows(batch, "id", "text"), (None, None)]:
+            for key, text in chain(text_rows(batch, "id", "text"), [(None, None)]):
                 if texts and (text is None or sizes is None or held + len(text) > _TOGETHER):
                     rows += rows_of(keys, texts)
                     keys, texts, held = [], [], 0
@@ -301,7 +302,7 @@ def windows(table: DataFrame, id_col: str, sizes: list[int] | None, wanted=None)
                     keys.append(key)
                     texts.append(text)
                     held += len(text)
-                if len(rows) >= 20_000:
+                if len(rows) >= 4_000:
                     yield columns(rows, _SCHEMA)
                     rows = []
             if rows:

@@ -65,10 +65,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """64-bit hash of a word, remembered (a cache, emptied at 500,000 words)."""
+    """64-bit hash of a word, remembered (a cache, emptied at ``limit`` words: some 10 MB)."""
+
+    def __init__(self, limit: int = 60_000):
+        super().__init__()
+        self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) >= self.limit:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -139,7 +143,11 @@ def sketches(docs: DataFrame) -> DataFrame:
                                  _mix(v).astype(np.uint8).tobytes(), band_keys(v)))
                 else:
                     rows.append((doc_id, len(s), None, None, None))
-            yield columns(rows, schema)
+                if len(rows) >= 1_000:
+                    yield columns(rows, schema)
+                    rows = []
+            if rows:
+                yield columns(rows, schema)
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), run,
                        "doc_id long, n_shingles long, set_key binary, signature binary, bands array<long>")

@@ -42,3 +42,28 @@ def test_stages_keep_columns_and_take_empty_tables(spark, sf):
         out = stage(spark, docs.where("false"), sf)
         assert out.columns == docs.columns and out.count() == 0, name
     assert P.STAGES[-1][1](spark, docs.where("false"), sf).count() == 0
+
+
+def test_workers_hold_few_words_and_texts():
+    """A worker lives through all stages: what each operator remembers in it stays small, and changes no result."""
+    import numpy as np
+    import pyarrow as pa
+
+    from quarry.llm import decontaminate, near_dedup
+    from quarry.llm.arrow import text_rows
+
+    words = [f"w{k}" for k in range(150_000)]
+    hashes, numbers = near_dedup.WordHashes(), decontaminate.Words()
+    found = [hashes[w.encode()] for w in words]
+    for at in range(0, len(words), 10_000):
+        numbers.numbers(words[at:at + 10_000])
+    assert len(hashes) <= 60_000 and len(numbers) <= 70_000
+    few = near_dedup.WordHashes(limit=7)
+    assert [few[w.encode()] for w in words[:1000]] == found[:1000] and len(few) <= 7
+    small = decontaminate.Words(limit=7)
+    for at in range(0, 1000, 5):
+        n = small.numbers(words[at:at + 5])
+        assert np.array_equal(small.hash[n], [found[k] for k in range(at, at + 5)])
+    batch = pa.record_batch({"id": list(range(1203)), "text": [None if k % 400 == 1 else f"t{k}" for k in range(1203)]})
+    assert list(text_rows(batch, "id", "text")) == [(k, "" if k % 400 == 1 else f"t{k}") for k in range(1203)]
+    assert list(text_rows(batch.slice(0, 0), "id", "text")) == []
