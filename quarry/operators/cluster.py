@@ -78,10 +78,12 @@ def pair_distance(pairs: DataFrame, incidence: DataFrame, left: str = "left",
     ``|A| + |B| − 2·|A ∩ B|``. ``incidence`` holds distinct (entity, feature)
     pairs, as ``incidence_from_baskets`` produces them.
 
-    The overlap is found by walking the features of the smaller entity of
-    each pair and probing the larger one: work Σ over pairs of min(|A|, |B|),
+    The overlap is counted per feature: the entities of a feature meet in a join of the incidence with itself,
+    and only counts per pair leave the tasks. A feature whose entities would meet in more than
+    twice as many pairs as are asked for is walked instead: each of its entities with each larger one that it is
+    asked with, probed by a semi-join. Either way the work is O(Σ over pairs of min(|A|, |B|)),
     never all pairs of entities that share a feature. The pair list with its
-    sizes is computed once; a pair and its mirror image are walked once, and a
+    sizes is computed once; a pair and its mirror image are counted once, and a
     pair of one entity with itself not at all. AQE chooses the joins by size.
     """
     inc = incidence.select(entity_col, feature_col)
@@ -97,16 +99,39 @@ def pair_distance(pairs: DataFrame, incidence: DataFrame, left: str = "left",
             | ((F.col("n_left") == F.col("n_right")) & (F.col(left) > F.col(right))))
     p = saved(p.withColumn("_small", F.when(swap, F.col(right)).otherwise(F.col(left)))
                .withColumn("_big", F.when(swap, F.col(left)).otherwise(F.col(right))), "pairs")
-    walk = (p.where("_small <> _big").select("_small", "_big").distinct()
-            .join(inc.withColumnRenamed(entity_col, "_small"), "_small")
-            .join(inc.withColumnRenamed(entity_col, "_big"), ["_big", feature_col], "left_semi"))
-    overlap = walk.groupBy("_small", "_big").agg(F.count(F.lit(1)).alias("overlap"))
+    asked = p.where("_small <> _big").select("_small", "_big").distinct()
+    overlap = _overlaps(asked, inc.toDF("_e", "_f"))
     out = p.join(overlap, ["_small", "_big"], "left")
     shared = F.when(F.col("_small") == F.col("_big"), F.col("n_left")).otherwise(F.coalesce("overlap", z))
     d2 = F.col("n_left") + F.col("n_right") - 2 * shared
     return out.select(left, right, d2.cast("long").alias("d2"))
 
 
+def _overlaps(asked: DataFrame, inc: DataFrame) -> DataFrame:
+    """``(_small, _big, overlap)`` of the pairs ``asked`` in the incidence ``(_e, _f)``; pairs without one are left out.
+
+    A repeated row of the smaller entity counts as often as it stands there, one of the larger entity once.
+    """
+    walks = asked.groupBy("_small").agg(F.count(F.lit(1)).alias("_walks")).withColumnRenamed("_small", "_e")
+    paired = asked.select(F.explode(F.array("_small", "_big")).alias("_e")).distinct()
+    held = inc.join(paired, "_e", "left_semi").where("_f is not null").join(walks, "_e", "left")
+    held = saved(held.groupBy("_f", "_e").agg(
+        F.count(F.lit(1)).alias("_m"), F.coalesce(F.max("_walks"), F.lit(0)).alias("_walks")), "pair-incidence")
+    cost = held.groupBy("_f").agg(F.count(F.lit(1)).alias("_n"), F.sum("_walks").alias("_walked"))
+    meets = held.join(cost.where("_n > 1 and _walked > 0").select(
+        "_f", (F.col("_n") * (F.col("_n") - 1) <= 4 * F.col("_walked")).alias("_met")), "_f")
+    meets = saved(meets.select("_f", "_e", "_m", "_met"), "pair-features")
+    a, b = (meets.where("_met").select("_f", F.col("_e").alias(f"_{x}"), F.col("_m").alias(f"_m{x}")) for x in "ab")
+    both = a.join(b, "_f").where("_a < _b")
+    either = asked.select(F.least("_small", "_big").alias("_a"), F.greatest("_small", "_big").alias("_b"), "_small", "_big")
+    both = both.join(either, ["_a", "_b"]).select(
+        "_small", "_big", F.when(F.col("_small") == F.col("_a"), F.col("_ma")).otherwise(F.col("_mb")).alias("_m"))
+    rest = meets.where("not _met").select("_f", "_e", "_m")
+    walk = (asked.join(rest.withColumnRenamed("_e", "_small"), "_small")
+            .join(rest.select("_f", F.col("_e").alias("_big")), ["_big", "_f"], "left_semi").select("_small", "_big", "_m"))
+    return both.union(walk).groupBy("_small", "_big").agg(F.sum("_m").alias("overlap"))
+
+
 # ---------------------------------------------------------------- k-means ---
 
 def initial_centroids(incidence: DataFrame, entities: DataFrame, k: int, seed: int,

@@ -51,6 +51,44 @@ def test_pair_distance_brute_force(spark):
     assert got[("e00", "e00")] == 0
 
 
+def _features_met(monkeypatch):
+    """Collects, per call of ``pair_distance``, how many of its (feature, entity) rows meet and how many are walked."""
+    found = []
+
+    def seen(df, name, real=M.saved):
+        out = real(df, name)
+        if name == "pair-features":
+            found.append({r["_met"]: r["n"] for r in out.groupBy("_met").agg(F.count(F.lit(1)).alias("n")).collect()})
+        return out
+
+    monkeypatch.setattr(M, "saved", seen)
+    return found
+
+
+def test_pair_distance_of_all_pairs_meets_per_feature(spark, monkeypatch):
+    """Where all pairs are asked for, no row per pair and feature is shuffled: entities meet at their features."""
+    found = _features_met(monkeypatch)
+    sets = {e: {f for f in range(200) if (f * 7 + e * 13) % 5} for e in range(24)}
+    inc = spark.createDataFrame([(e, f"f{f}") for e, s in sets.items() for f in s], "entity long, feature string")
+    asked = spark.createDataFrame([(a, b) for a in sets for b in sets], "a long, b long")
+    got = {(r.a, r.b): r.d2 for r in M.pair_distance(asked, inc, "a", "b").collect()}
+    assert got == {(a, b): len(sets[a] ^ sets[b]) for a in sets for b in sets}
+    assert found == [{True: sum(map(len, sets.values()))}]
+
+
+def test_pair_distance_of_hot_features_and_repeated_rows(spark, monkeypatch):
+    """Few pairs are asked for: a feature that all entities share is walked, and never meets in all pairs."""
+    rows = [(e, "hot") for e in range(300)] + [(e, f"f{e % 7}") for e in range(300)] + [(5, None), (12, None), (5, "f5"), (None, "hot")]
+    inc = spark.createDataFrame(rows, "entity long, feature string")
+    asked = [(5, 12), (12, 5), (5, 6), (7, 7), (299, 1000), (None, 5)]
+    found = _features_met(monkeypatch)
+    out = M.pair_distance(spark.createDataFrame(asked, "a long, b long"), inc, "a", "b")
+    got = {(r.a, r.b): r.d2 for r in out.collect()}
+    assert found == [{False: 7}]  # "hot" of 5, 6, 12 and 299, "f5" of 5, 12 and 299
+    # sizes count every row: 5 has 4, 12 has 3, 6, 7 and 299 have 2
+    assert got == {(5, 12): 3, (12, 5): 3, (5, 6): 4, (7, 7): 0, (299, 1000): 2, (None, 5): 4}
+
+
 def _md5_order(keys, seed):
     return sorted(keys, key=lambda k: (hashlib.md5(f"{seed}:{k}".encode()).hexdigest(), k))
 
