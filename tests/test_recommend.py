@@ -69,6 +69,38 @@ def test_als_solves_its_equations(spark):
     assert all(r.solved for r in R.als_bias_solved(train, seed=1, rank=2, maxIter=3).collect())
 
 
+def test_als_scores_in_blocks_are_the_models(spark):
+    """Scored block by block, also with a hot user dealt over all blocks: Spark's own predictions, bit for bit."""
+    from quarry.operators.als_steps import scored
+    train = made_ratings(spark).select((F.col("userId") - 3_000_000_000).cast("int").alias("userId"),
+                                       F.substring("itemId", 6, 2).cast("int").alias("itemId"), "rating")
+    model = R._als("userId", "itemId", "rating", 5, rank=6, maxIter=3).fit(train)
+    rows = [(u, i, None if i == 3 else u / 7) for u in range(0, 70, 3) for i in range(30)] + [(3, 4, 5.0)] * 2
+    test = spark.createDataFrame(rows, "userId int, itemId int, note double")
+    want = sorted(map(repr, model.transform(test).collect()))
+    for how in ({}, {"blocks": 3}, {"blocks": 4, "heavy": 20}):
+        got = scored(test, "userId", "itemId", model.userFactors, model.itemFactors, **how).select(*test.columns, "prediction")
+        assert sorted(map(repr, got.collect())) == want
+    assert scored(test.limit(0), "userId", "itemId", model.userFactors, model.itemFactors).count() == 0
+    with pytest.raises(Exception, match="must not be null"):
+        no_id = spark.createDataFrame([(None, 1, 1.0)], test.schema)
+        scored(no_id, "userId", "itemId", model.userFactors, model.itemFactors).collect()
+
+
+def test_als_blocks_grow_with_the_ratings(spark):
+    """What is sent to the blocks grows with their number: it follows the ratings, not the shuffle partitions."""
+    from quarry.operators.als_steps import BLOCK_ROWS, dealt
+    rows = spark.range(2000).selectExpr("cast(id % 500 as int) a", "cast(id as int) b")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 200)
+        assert BLOCK_ROWS >= 1_000_000 and dealt(rows, "a", "b").select("block").distinct().count() <= 16
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert R._als("a", "b", "r", 1).getNumUserBlocks() == 10  # the start depends on it
+    assert R._als("a", "b", "r", 1).getNumItemBlocks() == 5
+
+
 def made_ratings(spark, users=60, items=25):
     """A made sample: ratings 1 to 5 from two hidden tastes, with string items and ids beyond INT."""
     rows = []
