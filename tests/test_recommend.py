@@ -136,6 +136,53 @@ def test_als_whole_fit_is_checked(spark):
         assert all(math.isclose(a, b, rel_tol=1e-6, abs_tol=1e-9) for a, b in zip(r["features"], one[r["id"]]))
 
 
+def test_als_fit_is_sparks_and_leaves_little_behind(spark):
+    """The block jobs fit Spark's model, from Spark's start, which the users alone give; tables of passed steps are dropped."""
+    import glob
+    from quarry.session import checkpoint_dir
+    train = made_ratings(spark).select((F.col("userId") - 3_000_000_000).cast("int").alias("userId"),
+                                       F.substring("itemId", 6, 2).cast("int").alias("itemId"), "rating")
+    train = train.union(train.limit(40)).localCheckpoint()  # rows that come twice count twice
+    plain = lambda t: {r["id"]: list(r["features"]) for r in t.collect()}
+    zero = R._als("userId", "itemId", "rating", 5, rank=6, maxIter=0).fit(train)
+    assert plain(R._start(train, "userId", "itemId", "rating", 5, rank=6)) == plain(zero.userFactors)
+    tables = lambda: {k: len(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/quarry-tables/{k}-*"))
+                      for k in ("als-users", "als-items", "als-step")}
+    before = tables()
+    users, items, blocks, als = R.als_fit(train, "userId", "itemId", "rating", 5, rank=6, maxIter=3)
+    assert als.getMaxIter() == 3 and {k: n - before[k] for k, n in tables().items()} == {"als-users": 1, "als-items": 1, "als-step": 0}
+    model = R._als("userId", "itemId", "rating", 5, rank=6, maxIter=3).fit(train)
+    for found, wanted in ((users, model.userFactors), (items, model.itemFactors)):
+        found, wanted = plain(found), plain(wanted)
+        assert found.keys() == wanted.keys()
+        assert all(math.dist(found[k], v) <= 1e-3 * math.hypot(*v) for k, v in wanted.items())
+    assert blocks.packed.count() == blocks.blocks  # a half-step moves few, large rows
+    # the check sees the ratings: factors that do not solve the equations are found, and only they
+    wrong = users.withColumn("features", F.when(F.col("id") == 7, F.transform("features", lambda x: x * 1.01)).otherwise(F.col("features")))
+    assert {r["id"] for r in blocks.solves(wrong, items, 0.01, 1e-3).collect() if not r["agrees"]} == {7}
+    assert {r["id"] for r in blocks.solves(users, items, 0.02, 1e-3).collect() if r["agrees"]} == set()
+    with pytest.raises(Exception, match="must not be null"):
+        R.als_fit(train.withColumn("rating", F.when(F.col("userId") != 4, F.col("rating"))), "userId", "itemId", "rating", 5, rank=2)
+
+
+def test_als_hot_users_and_items_in_blocks(spark):
+    """Ids with more ratings than a block should hold are dealt over all blocks on either side; the factors stay the same."""
+    from quarry.operators.als_steps import RatingBlocks
+    train = made_ratings(spark).select((F.col("userId") - 3_000_000_000).cast("int").alias("u"),
+                                       F.substring("itemId", 6, 2).cast("int").alias("i"), "rating").localCheckpoint()
+    start = R._start(train, "u", "i", "rating", 5, rank=5)
+    plain = lambda t: {r["id"]: list(r["features"]) for r in t.collect()}
+    one, hot = RatingBlocks(train, "u", "i", "rating", blocks=1), RatingBlocks(train, "u", "i", "rating", blocks=3, heavy=9)
+    items = one.others(start, 0.01)
+    want, got = plain(items), plain(hot.others(start, 0.01))
+    assert one.hot == [] and hot.hot and hot.any_heavy and want.keys() == got.keys()
+    assert all(math.isclose(a, b, rel_tol=1e-5, abs_tol=1e-7) for k in want for a, b in zip(want[k], got[k]))
+    users = one.solved(items, 0.01)
+    checked = hot.solves(users, items, 0.01, 1e-3).collect()
+    assert all(r["agrees"] for r in checked) and len(checked) == 60
+    assert not any(r["agrees"] for r in hot.solves(users, items, 0.05, 1e-3).collect())
+
+
 def test_published_kind_of_values_on_a_made_sample(spark):
     """The quality values of the recommenders, on ratings with a known structure."""
     data = made_ratings(spark)
